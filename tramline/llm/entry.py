@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tramline.llm import chat, warc
+from tramline.llm import chat, simhash, warc
 from tramline.llm.common import table
 
 
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -21,11 +25,13 @@ def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash_dedup": op1_simhash_dedup,
     "op3_chat_format": op3_chat_format,
     "op9_warc_archive": op9_warc_archive,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_simhash_dedup": op1_simhash_dedup,
     "op3_chat_format": chat.ORACLE,
     "op9_warc_archive": warc.ORACLE,
 }
