@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,10 +37,17 @@ def fresh_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
-def binaries(column: pa.Array) -> list[bytes | None]:
-    return column.cast(pa.large_binary()).to_pylist()
-
-
 def utf8(name: str):
     """A text column as its UTF-8 bytes; null as no bytes."""
     return F.coalesce(F.col(name).cast("string").cast("binary"), F.lit(b"")).alias(name)
+
+
+def slices(batch: pa.RecordBatch, most: int = 8 << 20, column: int = 1) -> list[pa.RecordBatch]:
+    """batch in slices of about most bytes of one column, so that what is made of a slice stays small; a longer value
+    is a slice of its own."""
+    if not batch.num_rows:
+        return []
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy()
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // most)) + 1
+    bounds = [0, *cuts.tolist(), batch.num_rows]
+    return [batch.slice(a, b - a) for a, b in zip(bounds, bounds[1:], strict=False)]

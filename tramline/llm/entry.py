@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tramline.llm import chat, simhash, warc
+from tramline.llm import bpe, chat, simhash, warc
 from tramline.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
 def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -27,6 +31,7 @@ def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op3_chat_format": op3_chat_format,
+    "op5_bpe": op5_bpe,
     "op9_warc_archive": op9_warc_archive,
 }
 
