@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tramline.llm import bpe, chat, simhash, warc
+from tramline.llm import bpe, chat, packing, simhash, warc
 from tramline.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -32,6 +36,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op3_chat_format": op3_chat_format,
     "op5_bpe": op5_bpe,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op9_warc_archive": op9_warc_archive,
 }
 
