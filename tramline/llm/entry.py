@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tramline.llm import bpe, chat, packing, simhash, warc
+from tramline.llm import bpe, chat, packing, quality, simhash, warc
 from tramline.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op3_chat_format": op3_chat_format,
+    "op4_quality_rules": op4_quality_rules,
     "op5_bpe": op5_bpe,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op9_warc_archive": op9_warc_archive,
