@@ -23,7 +23,6 @@ other; repeated rows each get a place; an empty table gives no rows; other colum
 
 from __future__ import annotations
 
-import os
 import re
 import zlib
 from bisect import bisect_left, insort
@@ -36,51 +35,40 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramline.llm import common
+from tramline.llm.bpe import byte_characters
 
 CAPACITY, SMALL, GROUPS = 2048, 512, 1024
-CHUNKS = 400_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
-#: White space other than single spaces and line feeds between other characters.
-UNUSUAL = re.compile(rb"[\t\r\x0b\x0c]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|[ \n][ \n]|\A[ \n]|[ \n]\Z").search
+#: The byte-level tokenizer's own split, a fixed value.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LONG_BLANK = re.compile(r"\s{5000}").search
+
 
 
 class Tokens:
-    """Ids by the tokenizers library, which sees each distinct chunk once: a word with the space or line feed before
-    it. Where all white space is single spaces and line feeds between other characters, the tokenizer's pattern cuts
-    there anyway; any other text goes to it whole."""
+    """Ids as the tokenizers library gives them. The ranks of the same file's byte-level tokens go to tiktoken, which
+    merges the same pairs many times as fast; texts with a special token's string, and texts whose runs of white space
+    are beyond tiktoken's pattern engine, go to the tokenizers library itself."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tool = Tokenizer.from_file(path)
         self.tool.no_truncation()
         self.tool.no_padding()
-        self.special = [x.content.encode() for x in self.tool.get_added_tokens_decoder().values()]
-        self.known: dict[bytes, bytes] = {}
-        self.leading: dict[bytes, bytes] = {}
-
-    def raw(self, texts: list[bytes]) -> list[bytes]:
-        found = self.tool.encode_batch([x.decode("utf-8", "replace") for x in texts], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.known) + len(self.leading) > CHUNKS:
-            self.known, self.leading = {}, {}
-        cut, odd = [], []
-        for text in texts:
-            if not text or UNUSUAL(text) or any(x in text for x in self.special):
-                cut.append(None)
-                odd.append(text)
-            else:
-                cut.append(text.replace(b"\n", b" \n").split(b" "))
-        new = list(set().union(*[x[1:] for x in cut if x]) - self.known.keys())
-        self.known.update(zip(new, self.raw([x if x[:1] == b"\n" else b" " + x for x in new]), strict=True))
-        new = list({x[0] for x in cut if x} - self.leading.keys())
-        self.leading.update(zip(new, self.raw(new), strict=True))
-        known, rest = self.known, iter(self.raw(odd))
-        return [self.leading[x[0]] + b"".join([known[y] for y in x[1:]]) if x else next(rest) for x in cut]
+        added = self.tool.get_added_tokens_decoder()
+        self.special = [x.content.encode() for x in added.values()]
+        byte = {c: b for b, c in enumerate(byte_characters())}
+        ranks = {bytes(byte[c] for c in token): i for token, i in self.tool.get_vocab(with_added_tokens=False).items()}
+        self.fast = tiktoken.Encoding("fast", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: bytes) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit integers."""
+        said = text.decode("utf-8", "replace")
+        if LONG_BLANK(said) or any(x in text for x in self.special):
+            return np.array(self.tool.encode(said, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.fast.encode_to_numpy(said, disallowed_special=()).astype("<u4").tobytes()
 
 
 _made: dict[str, Tokens] = {}
@@ -108,8 +96,8 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
         for batch in batches:
             for some in common.slices(batch):
                 rows = []
-                for doc_id, ids in zip(some.column(0).to_pylist(), tokens.encode(some.column(1).to_pylist()), strict=True):
-                    ids += b"\0\0\0\0"
+                for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
+                    ids = tokens.encode(text) + b"\0\0\0\0"
                     n = len(ids) // 4
                     first = n % capacity or capacity
                     for k, end in enumerate(range(first, n + 1, capacity)):
