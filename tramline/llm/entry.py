@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tramline.llm import ann, bpe, chat, html_text, packing, quality, simhash, toxicity, warc
+from tramline.llm import ann, bpe, chat, html_text, licenses, packing, quality, simhash, toxicity, warc
 from tramline.llm.common import table
 
 
@@ -49,6 +49,10 @@ def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_toxicity": op2_toxicity,
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_html_text": op7_html_text,
     "op8_nearest": op8_nearest,
     "op9_warc_archive": op9_warc_archive,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {
