@@ -4,7 +4,8 @@ Nearness is the largest inner product, in double precision on the original vecto
 vector to the largest norm turns it into the smallest Euclidean distance; then a random rotation makes every block of
 columns a random sample of the distance. Lists are Voronoi cells of centroids. A query probes its nearest lists. Within
 a list the rotated vectors are read in blocks of BLOCK columns: a candidate whose partial distance, scaled up, fails
-the test against the query's current bound is abandoned, and the survivors get the exact measure.
+the test against the query's bound is abandoned, and the survivors get the exact measure. The bound is the distance
+within which the probed lists hold 2 * TOP vectors of the sample below, so that enough always survive.
 
 The centroids, and how many lists must be probed for RECALL of the true neighbours, are fitted on a bounded sample
 (SAMPLE vectors, PILOT of them as queries); every vector is indexed. Equal vectors are searched once: only the TOP + 1
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from tramline.llm import common
 
 TOP, EVERY = 20, 20
-SAMPLE, PILOT, RECALL = 20_000, 256, 0.985
-LIST, MOST_LISTS, ROUNDS = 256, 2048, 6
+SAMPLE, PILOT, RECALL = 20_000, 256, 0.97
+MOST_LISTS, ROUNDS = 2048, 6
 BLOCK, EPSILON, CHUNK, SEED = 13, 2.1, 2048, 5
 FOUND = "uid long, vec_id long, score double"
 
@@ -58,15 +59,16 @@ class Index:
         d = sample.shape[1] + 1
         self.norm2 = np.float64(norm) ** 2
         self.turn = np.linalg.qr(rng.standard_normal((d, d)))[0].astype(np.float32)
-        x = self.rotated(sample)
-        k = int(max(1, min(MOST_LISTS, count // LIST, len(x))))
+        self.sample = x = self.rotated(sample)
+        k = int(max(1, min(MOST_LISTS, np.sqrt(count) / 2, len(x))))
         self.centroids = x[rng.choice(len(x), k, replace=False)]
         for _ in range(ROUNDS if k > 1 else 0):
             own = self.nearest(x, 1)[:, 0]
             sums, sizes = np.zeros_like(self.centroids), np.bincount(own, minlength=k)
             np.add.at(sums, own, x)
             self.centroids = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], self.centroids).astype(np.float32)
-        self.probes = self.needed(sample, x)
+        self.own = self.nearest(x, 1)[:, 0]
+        self.probes = self.needed(sample)
 
     def rotated(self, v: np.ndarray) -> np.ndarray:
         fill = np.sqrt(np.maximum(0, self.norm2 - (v.astype(np.float64) ** 2).sum(axis=1)))
@@ -85,7 +87,20 @@ class Index:
             out[a : a + 2048] = np.argsort(far, axis=1, kind="stable")[:, :k] if k > 1 else far.argmin(axis=1)[:, None]
         return out
 
-    def needed(self, sample: np.ndarray, x: np.ndarray) -> int:
+    def bounds(self, q: np.ndarray, probed: np.ndarray, k: int) -> np.ndarray:
+        """Squared distance within which the probed lists have k vectors of the sample for each query."""
+        if len(self.sample) < k:
+            return np.full(len(q), np.inf, np.float32)
+        size, out = (self.sample**2).sum(axis=1), []
+        for a in range(0, len(q), 256):
+            part = q[a : a + 256]
+            read = np.zeros((len(part), len(self.centroids)), bool)
+            np.put_along_axis(read, probed[a : a + 256], True, axis=1)
+            far = np.where(read[:, self.own], size - 2 * part @ self.sample.T, np.inf)
+            out.append(np.partition(far, k - 1, axis=1)[:, k - 1] + (part**2).sum(axis=1))
+        return np.concatenate(out).astype(np.float32) * np.float32(1 + 1e-4) + np.float32(1e-5)
+
+    def needed(self, sample: np.ndarray) -> int:
         """Lists to probe for RECALL of the sample's own neighbours."""
         lists = len(self.centroids)
         if lists == 1 or len(sample) <= TOP:
@@ -95,36 +110,43 @@ class Index:
         score[pilot, pilot] = -np.inf
         near = np.argpartition(-score, TOP - 1, axis=1)[:, :TOP]
         place = np.argsort(self.nearest(self.turned(sample[pilot]), lists), axis=1)
-        ranks = np.sort(np.take_along_axis(place, self.nearest(x, 1)[:, 0][near], axis=1), axis=None)
+        ranks = np.sort(np.take_along_axis(place, self.own[near], axis=1), axis=None)
         return int(ranks[min(len(ranks) - 1, int(np.ceil(RECALL * len(ranks))))]) + 1
 
 
-def scan(q: np.ndarray, x: np.ndarray, top: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (query, candidate) that survive the tests, over rotated rows, some queries at a time."""
+def scan(q: np.ndarray, x: np.ndarray, bound: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (query, candidate) of rotated rows at most bound apart (squared, by query), some queries at a time.
+
+    After each block of columns a pair is abandoned if its partial distance, scaled to all columns, exceeds the bound
+    by more than the test allows for so many columns. While most pairs live, a block is one matrix product; when they
+    are few, only theirs are read on.
+    """
     d = x.shape[1]
-    for a in range(0, len(q), 64):
-        part = q[a : a + 64]
-        b = min(BLOCK, d)
-        far = (part[:, :b] ** 2).sum(axis=1)[:, None] + (x[:, :b] ** 2).sum(axis=1) - 2 * part[:, :b] @ x[:, :b].T
-        few = min(len(x), 2 * top)
-        first = np.argpartition(far, few - 1, axis=1)[:, :few]
-        exact = ((part[:, None, :] - x[first]) ** 2).sum(axis=2)
-        bound = np.partition(exact, min(top, few) - 1, axis=1)[:, min(top, few) - 1] if few >= top else np.full(len(part), np.inf)
-        bound = bound * np.float32(1 + 1e-4) + np.float32(1e-6)
-        i, j = np.nonzero(far * (d / b) <= (bound * (1 + EPSILON / np.sqrt(b)) ** 2)[:, None])
-        far = far[i, j]
-        while b < d:
+    for a in range(0, len(q), 128):
+        part, most = q[a : a + 128], bound[a : a + 128]
+        far, pairs = np.zeros((len(part), len(x)), np.float32), None
+        for b in range(0, d, BLOCK):
             e = min(d, b + BLOCK)
-            far = far + ((part[i, b:e] - x[j, b:e]) ** 2).sum(axis=1)
-            b = e
-            slack = (1 + EPSILON / np.sqrt(b)) ** 2 if b < d else 1 + 1e-4
-            live = far * (d / b) <= bound[i] * slack
-            i, j, far = i[live], j[live], far[live]
+            s = slice(b, e)
+            slack = np.float32(e / d * (1 + EPSILON / np.sqrt(e)) ** 2 if e < d else 1 + 1e-4)
+            if pairs is None:
+                far += (part[:, s] ** 2).sum(axis=1)[:, None] + (x[:, s] ** 2).sum(axis=1)
+                far -= 2 * part[:, s] @ x[:, s].T
+                live = far <= (most * slack + np.float32(1e-5))[:, None]
+                if np.count_nonzero(live) < 0.1 * live.size or e == d:
+                    pairs = np.nonzero(live)
+                    far = far[pairs]
+            else:
+                i, j = pairs
+                far = far + ((part[i, s] - x[j, s]) ** 2).sum(axis=1)
+                live = far <= most[i] * slack + np.float32(1e-5)
+                pairs, far = (i[live], j[live]), far[live]
+        i, j = pairs
         yield i + a, j
 
 
 def block_join(index: Index, top: int):
-    """The function of a block: candidates (uid, v, ids) against queries (uid, v)."""
+    """The function of a block: candidates (uid, v, ids) against queries (uid, v, bound)."""
 
     def run(candidates: pa.Table, queries: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -136,7 +158,7 @@ def block_join(index: Index, top: int):
             flat, cuts = ids.flatten().to_numpy(), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())])
             uid = queries.column("uid").to_numpy()
             x64, q64 = x.astype(np.float64), q.astype(np.float64)
-            for i, j in scan(index.turned(q), index.rotated(x), top):
+            for i, j in scan(index.turned(q), index.rotated(x), queries.column("bound").to_numpy()):
                 score = (q64[i] * x64[j]).sum(axis=1)
                 many = cuts[j + 1] - cuts[j]
                 i, score = np.repeat(i, many), np.repeat(score, many)
@@ -179,12 +201,14 @@ def search(rows: DataFrame, top: int = TOP, every: int = EVERY) -> DataFrame:
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                own = held.value.nearest(held.value.turned(matrix(b.column(1))), held.value.probes)
+                q = held.value.turned(matrix(b.column(1)))
+                own = held.value.nearest(q, held.value.probes)
+                bound = pa.array(held.value.bounds(q, own, 2 * top))
                 again = pa.array(np.repeat(np.arange(b.num_rows), own.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(own.ravel()), b.column(0).take(again), b.column(1).take(again)], names=["list", "uid", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(own.ravel()), *(x.take(again) for x in (*b.columns, bound))], names=["list", "uid", "v", "bound"])
 
     lists = common.cut(distinct.select("uid", "v", "ids").mapInArrow(place, "list int, uid long, v array<float>, ids array<long>"))
-    probes = asks.dropDuplicates(["uid"]).select("uid", "v").mapInArrow(probe, "list int, uid long, v array<float>")
+    probes = asks.dropDuplicates(["uid"]).select("uid", "v").mapInArrow(probe, "list int, uid long, v array<float>, bound float")
     probes = common.cut(probes)
     # blocks of each list on either side: at most MOST_LISTS rows
     sizes = lists.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("rows"))
@@ -192,7 +216,7 @@ def search(rows: DataFrame, top: int = TOP, every: int = EVERY) -> DataFrame:
     part = lambda n: F.pmod(F.xxhash64("uid"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = lists.join(blocks, "list").select("list", part("rows").alias("a"), each("asks").alias("b"), "uid", "v", "ids")
-    right = probes.join(blocks, "list").select("list", each("rows").alias("a"), part("asks").alias("b"), "uid", "v")
+    right = probes.join(blocks, "list").select("list", each("rows").alias("a"), part("asks").alias("b"), "uid", "v", "bound")
     keys = ["list", "a", "b"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(block_join(index, top + 1), FOUND)
     order = Window.partitionBy("uid").orderBy(F.desc("score"), "vec_id")
