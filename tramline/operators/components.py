@@ -6,25 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.operators import spatial
-from tramline.plans.lineage import cut
+from tramline.plans.lineage import cut, drop
 
 
 def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """v, component: the smallest vertex reachable, for vertices (v) and edges (a, b) taken in both directions.
 
-    Each round takes the smallest label among neighbours and then that label's label, so that long paths need few
-    rounds; labels are written to the shared folder each round.
+    In a round each vertex takes the smallest label among its neighbours, then all vertices that shared a label take the
+    smallest that any of them found, and then that label's own new label; so both scattered and sorted long paths need
+    few rounds. Labels are written to the shared folder each round.
     """
     both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = cut(vertices.select("v", F.col("v").alias("component")).distinct())
     while True:
-        near = both.join(labels, both.b == labels.v).groupBy("a").agg(F.min("component").alias("low"))
-        step = labels.join(near, labels.v == near.a, "left").select("v", F.col("component").alias("was"), F.least("component", F.coalesce("low", "component")).alias("component"))
+        near = both.join(labels.withColumnRenamed("v", "b"), "b").groupBy(F.col("a").alias("v")).agg(F.min("component").alias("low"))
+        step = labels.withColumnRenamed("component", "was").join(near, "v", "left").select("v", "was", F.least("was", F.coalesce("low", "was")).alias("low"))
         step = cut(step)
-        up = step.select(F.col("v").alias("component"), F.col("component").alias("up"))
-        after = cut(step.join(up, "component", "left").select("v", "was", F.least("component", F.coalesce("up", "component")).alias("component")))
-        labels = after.select("v", "component")
-        if after.filter("component <> was").isEmpty():
+        groups = cut(step.groupBy("was").agg(F.min("low").alias("low")))
+        up = groups.select(F.col("was").alias("low"), F.col("low").alias("lower"))
+        moved = groups.join(up, "low", "left").select("was", F.coalesce("lower", "low").alias("component"))
+        changed = not groups.filter("low <> was").isEmpty()
+        after = cut(step.select("v", "was").join(moved, "was").select("v", "component"))
+        drop(step, groups, labels)
+        labels = after
+        if not changed:
+            drop(both)
             return labels
 
 

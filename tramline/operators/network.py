@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.plans.lineage import cut
+from tramline.plans.lineage import cut, drop
 
 WALK, LEAST_NODES = 375.0, 3
 
@@ -24,7 +24,8 @@ def reach(seeds: DataFrame, edges: DataFrame, radius: float = WALK, least: int =
         step = step.filter(F.col("dist") <= radius)
         rows = state.select("stop_id", "node_id", "dist", F.lit(1).alias("old")).unionByName(step.withColumn("old", F.lit(0)))
         best = rows.groupBy("stop_id", "node_id").agg(F.min("dist").alias("dist"), F.min(F.when(F.col("old") == 1, F.col("dist"))).alias("before"))
-        state = cut(best.select("stop_id", "node_id", "dist", (F.col("before").isNull() | (F.col("dist") < F.col("before"))).alias("new")))
+        before, state = state, cut(best.select("stop_id", "node_id", "dist", (F.col("before").isNull() | (F.col("dist") < F.col("before"))).alias("new")))
+        drop(before)
         if state.filter("new").isEmpty():
             break
     rows = state.select("stop_id", "node_id", "dist")

@@ -1,15 +1,43 @@
-"""Cutting the lineage of iterative plans, in the folder that all executors share."""
+"""Cutting the lineage of plans in the folder that driver and executors share (spark.checkpoint.dir).
+
+A cut is a Parquet table there: it survives lost executors, its statistics are those of its files (a checkpointed
+plan keeps estimates, and these multiply at every join of a loop until planning itself never ends), and a join deals
+it out anew, so that Spark can split a hot key's partition.
+"""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir; a folder of its own only where that is unset, as in local runs."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        at = "file://" + tempfile.mkdtemp(prefix="tramline-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at.rstrip("/")
 
-from pyspark.sql import DataFrame
+
+def fresh_path(spark: SparkSession, kind: str) -> str:
+    return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df written to spark.checkpoint.dir and read from there; a folder of its own only where the setting is missing."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tramline-"))
-    return df.checkpoint(eager=True)
+    """df written once to the shared folder, and read from there."""
+    path = fresh_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def drop(*cuts: DataFrame) -> None:
+    """Removes the tables of cuts that nothing reads any more."""
+    for df in cuts:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._cut_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
