@@ -2,39 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tramline.plans.lineage import cut, drop, fresh_path, shared_dir
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one set here where it is unset (local runs)."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="tramline-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(at)
-    return at
+__all__ = ["cut", "drop", "filtered", "fresh_path", "shared_dir", "slices", "table", "texts", "utf8"]
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written once to the shared folder, without its lineage; survives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def fresh_path(spark: SparkSession, kind: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def utf8(name: str):

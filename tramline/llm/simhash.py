@@ -205,19 +205,25 @@ def links(distinct: DataFrame, split: int = SPLIT) -> DataFrame:
 def connect(stars: DataFrame) -> DataFrame:
     """v, label of each vertex of the stars, the label now being the smallest of all that it is connected to.
 
-    A round takes the smallest label of each star, then of each vertex, then that label's own label (which makes the
-    rounds few on long chains). A large star's rows carry one of parts salts, and its smallest label goes to each.
+    A round takes the smallest label of each star, then of each vertex; then all vertices that shared a label take the
+    smallest that any of them found, and that label's own new label, so that rounds are few on any shape. A large star's
+    rows carry one of parts salts, and its smallest label goes to each.
     """
-    state = common.cut(stars.withColumn("salt", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")))
+    stars = common.cut(stars.withColumn("salt", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")))
+    labels = common.cut(stars.groupBy("v").agg(F.min("label").alias("label")))
+    stars = stars.drop("label")
     while True:
-        low = state.groupBy("root").agg(F.min("label").alias("low"), F.max("parts").alias("parts"))
+        low = stars.join(labels, "v").groupBy("root").agg(F.min("label").alias("low"), F.max("parts").alias("parts"))
         low = low.select("root", "low", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
-        labels = common.cut(state.join(low, ["root", "salt"]).groupBy("v").agg(F.min(F.least("label", "low")).alias("label")))
-        up = labels.select(F.col("v").alias("to"), F.col("label").alias("up"))
-        labels = common.cut(labels.withColumn("to", F.col("label.fp")).join(up, "to").select("v", F.col("up").alias("label")))
-        after = common.cut(state.withColumnRenamed("label", "was").join(labels, "v"))
-        changed = not after.filter(F.col("label.fp") != F.col("was.fp")).isEmpty()
-        state = after.drop("was")
+        near = stars.join(low, ["root", "salt"]).groupBy("v").agg(F.min("low").alias("low"))
+        step = common.cut(labels.join(near, "v").select("v", F.col("label.fp").alias("was"), F.least("label", "low").alias("low")))
+        groups = common.cut(step.groupBy("was").agg(F.min("low").alias("low")))
+        up = groups.select(F.col("was").alias("to"), F.col("low").alias("lower"))
+        moved = groups.withColumn("to", F.col("low.fp")).join(up, "to", "left").select("was", F.coalesce("lower", "low").alias("label"))
+        changed = not groups.filter("low.fp <> was").isEmpty()
+        after = common.cut(step.select("v", "was").join(moved, "was").select("v", "label"))
+        common.drop(step, groups, labels)
+        labels = after
         if not changed:
             return labels
 
