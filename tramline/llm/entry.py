@@ -67,7 +67,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
-    "op1_simhash_dedup": op1_simhash_dedup,
     "op3_chat_format": chat.ORACLE,
     "op9_warc_archive": warc.ORACLE,
 }
