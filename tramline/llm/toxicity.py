@@ -30,7 +30,7 @@ from tramline.llm import common
 
 WINDOW, STRIDE, HIDDEN = 32, 16, 8
 WORD_DIM, CHAR_DIM, TRIGRAMS, MIN_DOCS = 12, 12, 4096, 4
-SAMPLE, LONGEST = (1000, 2000), 20_000
+SAMPLE, LONGEST = (1500, 3000), 8_000
 EPOCHS, WIDE, TRIM, BATCH, RATE, SEED = 14, 3, 6, 128, 0.01, 7
 KNOWN, BLOCK = 300_000, 4096
 MARKS = bytes(x for x in range(33, 127) if not chr(x).isalnum())
@@ -237,7 +237,9 @@ class Scorer:
 # ---- training
 
 
-def fit(texts: list[bytes], toxic: list[int]) -> Net | None:
+def fit(texts: list[bytes], toxic: list[int], share: float | None = None) -> Net | None:
+    """A net for texts and their labels, or None without both kinds. share: of toxic ones among all labelled rows, if
+    the texts are drawn by kind."""
     label = np.array(toxic, np.int64)
     if not len(label) or label.min() == label.max():
         return None
@@ -290,12 +292,13 @@ def fit(texts: list[bytes], toxic: list[int]) -> Net | None:
                 net.p[name] -= (rate * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
                 if name in ("word", "char"):
                     net.p[name] *= np.float32(1 - 0.02 * rate)
-    net.scale = scale(Scorer(net), texts, label, apart)
+    net.scale = scale(Scorer(net), texts, label, apart, label.mean() if share is None else share)
     return net
 
 
-def scale(scorer: Scorer, texts: list[bytes], label: np.ndarray, apart: np.ndarray) -> np.ndarray:
-    """Slope and offset of the largest logit, by logistic regression with a weak prior, on texts kept from the fit."""
+def scale(scorer: Scorer, texts: list[bytes], label: np.ndarray, apart: np.ndarray, share: float) -> np.ndarray:
+    """Slope and offset of the largest logit, by logistic regression with a weak prior, on texts kept from the fit; both
+    kinds weigh as among all labelled rows."""
     own = np.flatnonzero(apart) if apart.any() else np.arange(len(texts))
     best = np.full(len(texts), -np.inf)
     for k in range(0, len(own), 500):
@@ -303,10 +306,12 @@ def scale(scorer: Scorer, texts: list[bytes], label: np.ndarray, apart: np.ndarr
         np.maximum.at(best, own[k : k + 500][of], logit)
     own = own[np.isfinite(best[own])]
     x, y, w = np.stack([best[own], np.ones(len(own))], axis=1), label[own], np.array([1.0, 0.0])
+    own_share = min(max(y.mean(), 1e-6), 1 - 1e-6) if len(y) else 0.5
+    each = np.where(y == 1, share / own_share, (1 - share) / (1 - own_share))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - y) + 0.1 * (w - [1.0, 0.0])
-        hess = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
+        grad = x.T @ (each * (p - y)) + 0.1 * (w - [1.0, 0.0])
+        hess = (x * (each * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
         move = np.linalg.solve(hess, grad)
         w = w - np.clip(move, -1, 1)
     return np.array([max(w[0], 0.05), w[1]])
@@ -319,11 +324,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Net | None:
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [own.filter(F.col("toxic") == k).orderBy(*order).limit(n) for k, n in ((1, SAMPLE[0]), (0, SAMPLE[1]))]
     chosen = common.cut(chosen[0].unionByName(chosen[1]))  # at most sum(SAMPLE) ids
+    share = own.agg(F.avg("toxic")).first()[0]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.utf8("text")).filter(F.octet_length("text").between(1, LONGEST))
     rows = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).toArrow()
     order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
     texts, toxic = rows.column("text").to_pylist(), rows.column("toxic").to_pylist()
-    return fit([texts[k] for k in order], [toxic[k] for k in order])
+    return fit([texts[k] for k in order], [toxic[k] for k in order], share)
 
 
 def scored(docs: DataFrame, net: Net | None) -> DataFrame:
