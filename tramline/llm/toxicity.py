@@ -179,6 +179,25 @@ class Net:
         return loss, g
 
 
+def window_logits(net: Net, tables: dict[str, np.ndarray], flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Logit of each window of flat, rows of the projected tables (row 0 is the pad)."""
+    out = np.empty(len(start), np.float32)
+    offsets = np.arange(WINDOW)
+    for k in range(0, len(start), BLOCK):
+        at = start[k : k + BLOCK, None] + offsets
+        mask = at < end[k : k + BLOCK, None]
+        at = np.where(mask, flat[np.minimum(at, len(flat) - 1)], 0)
+        states = np.concatenate([net.read(tables[s], at, s) for s in "fb"], axis=2)
+        out[k : k + BLOCK] = net.pool(states, mask.T)[0]
+    return out
+
+
+def largest(logit: np.ndarray, of: np.ndarray, texts: int) -> np.ndarray:
+    best = np.full(texts, -np.inf)
+    np.maximum.at(best, of, logit)
+    return best
+
+
 class Scorer:
     """Scores texts with a net; keeps the projected inputs of the words that it has met."""
 
@@ -216,20 +235,11 @@ class Scorer:
         flat = np.array([ids[w] for words in cut for w in words] + [0], np.int64)
         lengths = np.fromiter(map(len, cut), np.int64, len(cut))
         start, end, of = windows(lengths)
-        out = np.empty(len(start), np.float32)
-        offsets = np.arange(WINDOW)
-        for k in range(0, len(start), BLOCK):
-            at = start[k : k + BLOCK, None] + offsets
-            mask = at < end[k : k + BLOCK, None]
-            at = np.where(mask, flat[np.minimum(at, len(flat) - 1)], 0)
-            states = np.concatenate([self.net.read(self.tables[s], at, s) for s in "fb"], axis=2)
-            out[k : k + BLOCK] = self.net.pool(states, mask.T)[0]
-        return out, start, of
+        return window_logits(self.net, self.tables, flat, start, end), start, of
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         logit, _, of = self.logits(texts)
-        best = np.full(len(texts), -np.inf)
-        np.maximum.at(best, of, logit)
+        best = largest(logit, of, len(texts))
         a, b = self.net.scale
         return np.where(np.isfinite(best), 1 / (1 + np.exp(-np.clip(a * np.where(np.isfinite(best), best, 0) + b, -30, 30))), 0.0)
 
@@ -253,23 +263,29 @@ def fit(texts: list[bytes], toxic: list[int], share: float | None = None) -> Net
         for w in {x.strip(MARKS) for x in words}:
             seen[w] = seen.get(w, 0) + 1
     net = Net({w: k + 1 for k, w in enumerate(sorted(w for w, n in seen.items() if n >= MIN_DOCS and w))}, rng)
-    ids = {w: k for k, w in enumerate(sorted({w for words in cut for w in words}))}
-    names = list(ids)
+    names = sorted({w for words in cut for w in words})
+    ids = {w: k for k, w in enumerate(names)}
     flat = np.array([ids[w] for words in cut for w in words] + [0], np.int64)
     start, end, of = windows(np.fromiter(map(len, cut), np.int64, len(cut)))
+    del cut, ids, seen
+
+    def now() -> np.ndarray:
+        """Logit of every window, as the net stands."""
+        scorer = Scorer(net)
+        scorer.learn(names)
+        return window_logits(net, scorer.tables, flat + 1, start, end)
+
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     count = 0
     for epoch in range(EPOCHS):
-        scorer = Scorer(net)
-        logit = np.concatenate([scorer.logits(texts[k : k + 500])[0] for k in range(0, len(texts), 500)])
+        logit = now()
         order = np.lexsort((-logit, of))
         rank = np.empty(len(of), np.int64)
         firsts = np.concatenate([[True], of[order][1:] != of[order][:-1]])
         rank[order] = np.arange(len(of)) - np.maximum.accumulate(np.where(firsts, np.arange(len(of)), 0))
         usable = ~apart[of]
         if epoch >= TRIM:
-            best = np.full(len(texts), -np.inf)
-            np.maximum.at(best, of, logit)
+            best = largest(logit, of, len(texts))
             usable &= ~(((label == 1) & (best < -1)) | ((label == 0) & (best > 1)))[of]
         most = np.where(label[of] == 1, 6 if epoch < WIDE else 1, 2)
         chosen = usable & ((rank < most) | ((label[of] == 0) & (rng.random(len(of)) < 0.1)))
@@ -292,18 +308,14 @@ def fit(texts: list[bytes], toxic: list[int], share: float | None = None) -> Net
                 net.p[name] -= (rate * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
                 if name in ("word", "char"):
                     net.p[name] *= np.float32(1 - 0.02 * rate)
-    net.scale = scale(Scorer(net), texts, label, apart, label.mean() if share is None else share)
+    net.scale = scale(largest(now(), of, len(texts)), label, apart, label.mean() if share is None else share)
     return net
 
 
-def scale(scorer: Scorer, texts: list[bytes], label: np.ndarray, apart: np.ndarray, share: float) -> np.ndarray:
+def scale(best: np.ndarray, label: np.ndarray, apart: np.ndarray, share: float) -> np.ndarray:
     """Slope and offset of the largest logit, by logistic regression with a weak prior, on texts kept from the fit; both
     kinds weigh as among all labelled rows."""
-    own = np.flatnonzero(apart) if apart.any() else np.arange(len(texts))
-    best = np.full(len(texts), -np.inf)
-    for k in range(0, len(own), 500):
-        logit, _, of = scorer.logits([texts[j] for j in own[k : k + 500]])
-        np.maximum.at(best, own[k : k + 500][of], logit)
+    own = np.flatnonzero(apart) if apart.any() else np.arange(len(best))
     own = own[np.isfinite(best[own])]
     x, y, w = np.stack([best[own], np.ones(len(own))], axis=1), label[own], np.array([1.0, 0.0])
     own_share = min(max(y.mean(), 1e-6), 1 - 1e-6) if len(y) else 0.5
