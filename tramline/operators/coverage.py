@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tramline.functions import classes, geo
 from tramline.operators import components
+from tramline.plans.lineage import cut
 
 CELL, BUFFER = 25.0, 50.0
 LEAST_AREA, MOST_AREA = 10.0, 5_000_000.0
@@ -46,6 +47,7 @@ def dissolve(freq: DataFrame, size: float = CELL, first_of_value: bool = False)
 
     unique_routes is that of the region's first cell; with first_of_value, of the first cell of all that frequency.
     """
+    freq = cut(freq)  # read four times below
     packed = freq.withColumn("v", F.col("cx") * F.lit(1 << 32) + F.col("cy") + F.lit(1 << 31))
     here = packed.select("v", "cx", "cy", "deduped_trips")
     near = []

@@ -50,5 +50,5 @@ def walking_segments(city: City, stops: DataFrame, nodes: DataFrame, edges: Data
 
 def coverage_map(segments: DataFrame, counts: DataFrame, size: float = coverage.CELL, first_of_value: bool = False) -> DataFrame:
     """Regions of equal frequency, largest frequency first."""
-    freq = cut(coverage.frequency(coverage.cells(segments, size), counts))
+    freq = coverage.frequency(coverage.cells(segments, size), counts)
     return coverage.dissolve(freq, size, first_of_value).orderBy(F.desc("deduped_trips"), "part")
