@@ -93,7 +93,7 @@ def repeated(words: list[bytes]) -> int:
 def counts(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Two rows of BUCKETS counts: of all documents, and of those of quality 1."""
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("good", F.lit(True))
-    few = good.limit(BROADCAST + 1).count() <= BROADCAST
+    few = good.count() <= BROADCAST
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.utf8("text"))
     marked = docs.join(F.broadcast(good) if few else good, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
 
