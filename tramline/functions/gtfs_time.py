@@ -11,7 +11,7 @@ WINDOW_START, WINDOW_END = 6 * HOUR, 22 * HOUR
 
 def _part(text: Column, k: int) -> Column:
     """An integer part of "H:MM:SS", null where it is missing or no plain number (signs and spaces around are allowed)."""
-    return F.try_element_at(F.split(text, ":"), F.lit(k)).try_cast("int")
+    return F.split_part(text, F.lit(":"), F.lit(k)).try_cast("int")
 
 
 def clock_seconds(text: Column) -> Column:
