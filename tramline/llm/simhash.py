@@ -10,7 +10,8 @@ subtrees below its top block; a subtree meets in one task. There the traversal s
 subtree), descends a bit a round for all node pairs of the task at once, adds the differing bit of mixed child pairs,
 and drops pairs over the budget. A trie is never built: a node is a range of the sorted fingerprints. A subtree of
 more than SPLIT fingerprints is cut further, into the node pairs q bits below that are still within the budget, each
-a group of its own, so that no task gets an unbounded group and no pair is lost.
+a group of its own, so that a task's group stays small as far as those bits tell the fingerprints apart, and no pair
+is lost.
 
 A task does not emit pairs but, for each of its components, one row a member that names the smallest member: at most
 as many rows as it read. Components of those stars are found by minimum labels with shortcuts, in DataFrame joins; all
