@@ -168,6 +168,16 @@ def test_main_text(html, text):
     assert html_text.extract(html) == text
 
 
+def test_line_blocks_decide_inside_the_article():
+    body = "<p>" + "long words " * 20 + "</p>"
+    links = "<ul>" + "<li><a href=/x>Read this too</a></li>" * 5 + "</ul>"
+    got = html_text.extract(PAGE % f"<article><h1><a href=/>Head</a></h1>{body}{links}<p>Tags</p></article>")
+    assert got == "Head " + "long words " * 19 + "long words"
+    assert html_text.extract(PAGE % f"<article><p>Start.</p><div class=ad>buy</div>{body}</article><p>Out</p>").startswith("Start. long")
+    far = "<div>" + "other prose " * 40 + "</div>"
+    assert "other prose" in html_text.extract(PAGE % f"<article>{body}</article>{far}")
+
+
 def test_main_text_of_articles_by_regular_expressions(spark):
     import html as h
 

@@ -1,10 +1,14 @@
 """Operator 7, HTML extraction by line-block distribution.
 
 Markup is stripped into lines, one a block of text; a boilerplate element (by tag, role, or words of its class and id)
-leaves GAP empty lines, and a line that is mostly link text counts as empty where no element names the article. The text
-lengths are summed over windows of GAP + 1 lines. A surge point is where the sum leaves zero, the dive point where it
-comes back to zero; a run between them is kept if its text reaches SURGE characters, or if it is the longest run. Where
-an article (else main) element holds text, the lines outside it are empty as well and every run is kept.
+leaves GAP empty lines, and a line that is mostly link text counts as empty (links in the h1 of an article are no link
+text). The text lengths are summed over windows of GAP + 1 lines. A surge point is where the sum leaves zero, the dive
+point where it comes back to zero; a run between them is kept if its text reaches SURGE characters, or if it is the
+longest run.
+
+Where an article (else main) element holds text, it is a prior. Runs inside and outside it are found apart. Inside, a run
+is also kept that reaches INSIDE characters or a quarter of the longest run, holds an h1, or ends as a sentence does;
+outside, only one that reaches SURGE and is as long as the longest inside.
 
 In the text, character references are decoded, white space inside a block becomes one space, ends are trimmed, and
 blocks are joined in page order by one space. Nothing else is dropped, and nothing is cut off.
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tramline.llm import common
 
-GAP, SURGE = 2, 80
+GAP, SURGE, INSIDE = 2, 80, 20
 RESULT = "page_id long, url string, text string, n_chars long"
 
 TAG = re.compile(
@@ -53,6 +57,8 @@ WORDS = frozenset(
     "cookie cookies consent gdpr notice notices notification notifications disclaimer popup modal overlay newsletter subscribe subscription signup signin login "
     "search social share sharing comment comments disqus reply replies respond discussion related recommended recommendations copyright".split()
 )
+#: What a sentence ends with.
+STOPS = tuple('.!?…。！？"”»')
 NOT_FIRST = frozenset("has with no is without".split())
 
 
@@ -75,12 +81,13 @@ def boilerplate(tag: str, attributes: str, inside: bool) -> bool:
 
 
 class Lines:
-    """Text lines of a page: their text, how much of it is in links, and whether an article or main element holds it."""
+    """Text lines of a page: their text, how much of it is in links, whether an article or main element holds it, and whether its h1 does."""
 
     def __init__(self) -> None:
         self.text: list[str] = []
         self.links: list[int] = []
         self.inside: list[str] = []
+        self.title: list[bool] = []
         self.parts: list[str] = []
         self.linked = 0
 
@@ -89,30 +96,33 @@ class Lines:
         if link:
             self.linked += len("".join(text.split()))
 
-    def end(self, inside: str) -> None:
+    def end(self, inside: str, title: bool) -> None:
         if self.parts:
             if text := " ".join("".join(self.parts).split()):
                 self.text.append(text)
                 self.links.append(self.linked)
                 self.inside.append(inside)
+                self.title.append(title)
             self.parts, self.linked = [], 0
 
     def gap(self) -> None:
         self.text += [""] * GAP
         self.links += [0] * GAP
         self.inside += [""] * GAP
+        self.title += [False] * GAP
 
 
 def lines_of(html: str) -> Lines:
     out = Lines()
     stack: list[tuple[str, bool, str]] = []  # tag, boilerplate, the article or main element around
-    at, skip, inside, links = 0, False, "", 0
+    at, skip, inside, links, title = 0, False, "", 0, 0
     low = None
 
     def leave(k: int) -> None:
-        nonlocal skip, inside, links
-        for tag, *_ in stack[k:]:
+        nonlocal skip, inside, links, title
+        for tag, _, around in stack[k:]:
             links -= tag == "a"
+            title -= tag == "h1" and around != ""
         was = skip
         del stack[k:]
         skip, inside = (stack[-1][1], stack[-1][2]) if stack else (False, "")
@@ -134,7 +144,7 @@ def lines_of(html: str) -> Lines:
         m = TAG.search(html, at)
         text = html[at : m.start() if m else n]
         if text and not skip:
-            out.add(unescape(text) if "&" in text else text, links > 0)
+            out.add(unescape(text) if "&" in text else text, links > 0 and not title)
         if not m:
             break
         at = m.end()
@@ -145,7 +155,7 @@ def lines_of(html: str) -> Lines:
                 continue  # a comment or declaration, or cut off by the end
         tag = tag.lower()
         if tag not in INLINE:
-            out.end(inside)
+            out.end(inside, title > 0)
         if slash:
             if tag == "p" and opened(("p",)) < 0:
                 continue
@@ -176,14 +186,15 @@ def lines_of(html: str) -> Lines:
         elif not bad and not inside and re.search(r"""\bitemprop\s*=\s*["']?articleBody|\brole\s*=\s*["']?main\b""", attributes):
             around = "main"
         if bad and not skip:
-            out.end(inside)
+            out.end(inside, title > 0)
             out.gap()
         if attributes.endswith("/") and tag in INLINE:
             continue
         stack.append((tag, bad, around))
         skip, inside = bad, around
         links += tag == "a"
-    out.end(inside)
+        title += tag == "h1" and around != ""
+    out.end(inside, title > 0)
     return out
 
 
@@ -202,15 +213,25 @@ def runs(sizes: list[int]) -> Iterator[tuple[int, int]]:
 def extract(html: str | None) -> str:
     """The main text of a page."""
     page = lines_of(html or "")
-    named = "article" if "article" in page.inside else "main" if "main" in page.inside else ""
-    if named:
-        sizes = [len(x) if y == named else 0 for x, y in zip(page.text, page.inside, strict=True)]
-    else:
-        sizes = [len(x) if 2 * y <= len(x.replace(" ", "")) else 0 for x, y in zip(page.text, page.links, strict=True)]
-    found = [(a, b, sum(sizes[a:b])) for a, b in runs(sizes)]
-    most = max((x[2] for x in found), default=0)
-    kept = [k for a, b, size in found if named or size >= SURGE or size == most for k in range(a, b) if sizes[k] or not named and page.text[k]]
-    return " ".join(page.text[k] for k in kept)
+    sizes = [len(x) if 2 * y <= len(x.replace(" ", "")) else 0 for x, y in zip(page.text, page.links, strict=True)]
+    holders = {x for x, size in zip(page.inside, sizes, strict=True) if size}
+    named = "article" if "article" in holders else "main" if "main" in holders else ""
+    kept: list[int] = []
+    least = 0
+    for within in (True, False):
+        own = [(x == named) == within for x in page.inside]
+        masked = [x if y else 0 for x, y in zip(sizes, own, strict=True)]
+        found = [(a, b, sum(masked[a:b])) for a, b in runs(masked)]
+        most = max((x[2] for x in found), default=0)
+        for a, b, size in found:
+            if within:
+                good = size >= SURGE or size == most or named and (size >= min(INSIDE, most / 4) or any(page.title[a:b]) or page.text[b - 1].endswith(STOPS))
+            else:
+                good = size >= max(SURGE, least)
+            if good:
+                kept += [k for k in range(a, b) if own[k] and page.text[k]]
+        least = most
+    return " ".join(page.text[k] for k in sorted(kept))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
