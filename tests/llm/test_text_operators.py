@@ -268,6 +268,26 @@ def test_licence_windows_against_all_windows():
         assert s.scan(text) == brute_scan(s, text)
 
 
+def licences_of(text):
+    return sorted({x[0].partition("#")[0] for x in licenses.Scanner().resolve(text.encode())})
+
+
+@pytest.mark.parametrize(("key", "name"), [(k, k.partition("#")[0]) for k in licenses.TEMPLATES])
+def test_licence_template_matches_itself_only(key, name):
+    text = licenses.TEMPLATES[key]
+    assert licences_of(f"Some words. {text} More words. {text} The end.") == [name]
+
+
+def test_licences_differ_by_their_distinguishing_words():
+    said = "This work is licensed under the GNU {}General Public License{}."
+    assert licences_of(said.format("", ", version 3")) == ["GPL-3.0"]
+    assert licences_of(said.format("", ", version 2.0")) == ["GPL-2.0"]
+    assert licences_of(said.format("", ", version 2.1")) == licences_of(said.format("", "")) == licences_of(said.format("Library ", ", version 3")) == []
+    assert licences_of(said.format("", ", version 3") + " 5 files. " + said.format("Affero ", ", version 3") + " Released under the MIT License.") == ["AGPL-3.0", "GPL-3.0", "MIT"]
+    assert licences_of("Licensed under CC BY-NC-SA 3.0.") == []
+    assert licences_of("The header. " + licenses.TEMPLATES["BSD-3-Clause"].replace("the copyright holder", "Example Inc")) == ["BSD-3-Clause"]
+
+
 def test_licence_rows(spark):
     texts = [None, "", "Nothing here", "Intro.\n" + licenses.TEMPLATES["MIT"].replace("Software", "Program") + "\nmore", "x. Released under the MIT License. Licensed under CC BY-NC 4.0."]
     got = {r.doc_id: r for r in licenses.scan(docs(spark, texts)).filter("doc_id <> 1 OR license IS NOT NULL").collect()}

@@ -2,8 +2,12 @@
 
 Texts and templates are normalised to words of lower-case letters and digits (bytes beyond ASCII count as letters). A
 window is a run of a text's bigrams; its likeness to a template is 2 * common / (window + template), bigrams counted
-with their repeats. A template matches a text if some window reaches LIKE; its best window is the likest, of equally
-like ones the first, of those the shortest.
+with their repeats. A window that reaches LIKE is a candidate: of a template of less than SHORT bigrams the likest window from each
+start, of a longer one its likest window, of equally like ones the first, of those the shortest.
+
+Sibling licences differ by a word or a number, which Dice hardly sees. So a candidate of a short template must name the
+same variants (Lesser, Affero, NonCommercial and so on) and the template's versions, and of candidates that overlap only
+the one with most bigrams in common stays, of those the likest. A document's licences are those of what stays.
 
 Size bounds prune: a window that reaches LIKE has at most template * (2 - LIKE) / LIKE bigrams and holds at least
 template * LIKE / (2 - LIKE) of the template's. A template with fewer of its bigrams in the whole text, or not so many
@@ -16,6 +20,7 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -27,9 +32,13 @@ from pyspark.sql import functions as F
 
 from tramline.llm import common
 
-LIKE = 0.85
+LIKE, SHORT = 0.85, 300
 RESULT = "doc_id long, license string, dice double, n_licenses long, licenses string"
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
+#: Words that tell sibling licences apart, and version numbers, in lower-case text.
+VARIANT = re.compile(rb"\bgnu\W+(library)\b|\b(lesser|affero|non\W?commercial|nc|share\W?alike|sa|no\W?deriv(?:ative)?s|nd)\b")
+ALIKE = {b"noncommercial": b"nc", b"sharealike": b"sa", b"noderivatives": b"nd", b"noderivs": b"nd"}
+VERSION = re.compile(rb"(?:\b(?:version|v|by|sa|nc|nd|[al]?gpl|mpl)|cc0|attribution|commercial|alike|derivatives)[^a-z0-9\x80-\xff]*(\d+(?:\.\d+)*)")
 
 #: Public licence texts and notices, by SPDX-like name; a name before "#" may have several.
 TEMPLATES = {
@@ -60,6 +69,13 @@ TEMPLATES = {
 }
 
 
+def signature(text: bytes) -> tuple[set[bytes], set[tuple[bytes, ...]]]:
+    """The variants and the versions (without trailing zeros) that a lower-case text names."""
+    variants = {re.sub(rb"\W", b"", a or b) for a, b in VARIANT.findall(text)}
+    versions = (x.split(b".") for x in VERSION.findall(text))
+    return {ALIKE.get(x, x) for x in variants}, {tuple(x[: max((k + 1 for k, y in enumerate(x) if y.strip(b"0")), default=1)]) for x in versions}
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str] = TEMPLATES, like: float = LIKE):
         self.like = like
@@ -69,6 +85,7 @@ class Scanner:
         self.names = sorted(templates)
         self.counts = [Counter(a * self.base + b for a, b in zip(x, x[1:], strict=False)) for x in ([self.ids[w] for w in words[k]] for k in self.names)]
         self.sizes = [sum(c.values()) for c in self.counts]
+        self.signatures = [signature(templates[k].lower().encode()) for k in self.names]
         self.least = [int(np.ceil(n * like / (2 - like) - 1e-9)) for n in self.sizes]
         self.most = [int(n * (2 - like) / like + 1e-9) for n in self.sizes]
         self.holders: dict[int, list[int]] = {}
@@ -77,15 +94,19 @@ class Scanner:
                 self.holders.setdefault(code, []).append(k)
         self.codes = np.array(sorted(self.holders), np.int64)
 
-    def best(self, k: int, at: np.ndarray, codes: np.ndarray) -> tuple[float, int, int] | None:
-        """Likeness, start and end (in bigrams of the text) of template k's best window, from its bigrams' places."""
+    def windows(self, k: int, at: np.ndarray, codes: np.ndarray) -> Iterator[tuple[float, int, int]]:
+        """Likeness, start and end (in bigrams of the text) of template k's windows, from its bigrams' places: the likest
+        from each start in turn, of a long template only if likelier than those before."""
         least, most, size = self.least[k], self.most[k], self.sizes[k]
         if len(at) < least:
-            return None
+            return
         starts = np.flatnonzero(at[least - 1 :] - at[: len(at) - least + 1] < most)
-        found = None
-        for i in starts.tolist():
-            left, common_ = dict(self.counts[k]), 0
+        reach = np.minimum(np.searchsorted(at, at[starts] + most) - starts, size)
+        top = 0.0
+        for i, room in zip(starts.tolist(), reach.tolist(), strict=True):
+            if 2 * room / (room + size) <= top:
+                continue
+            left, common_, found = dict(self.counts[k]), 0, None
             for j in range(i, min(len(at), i + most)):
                 length = int(at[j] - at[i]) + 1
                 if length > most:
@@ -95,41 +116,85 @@ class Scanner:
                     left[code] -= 1
                     common_ += 1
                     like = 2 * common_ / (length + size)
-                    if like >= self.like and (found is None or like > found[0]):
+                    if like >= self.like and like > (found[0] if found else top):
                         found = (like, int(at[i]), int(at[j]) + 1)
-        return found
+            if found:
+                yield found
+                if size >= SHORT:
+                    top = found[0]
 
-    def scan(self, text: bytes) -> list[tuple[str, float, int, int]]:
-        """Template name, likeness, first bigram and end of each template that matches, likest first."""
+    def candidates(self, text: bytes) -> dict[int, list[tuple[float, int, int]]]:
+        """The windows of each template that has some."""
         get = self.ids.get
         ids = np.array([get(w, 0) for w in WORD.findall(text.lower())], np.int64)
         if len(ids) < 2:
-            return []
+            return {}
         both = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
         codes = ids[both] * self.base + ids[both + 1]
         place = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
         known = self.codes[place] == codes
         both, codes = both[known], codes[known]
         if not len(both):
-            return []
+            return {}
         has, many = np.unique(codes, return_counts=True)
         room: Counter[int] = Counter()
         for code, n in zip(has.tolist(), many.tolist(), strict=True):
             for k in self.holders[code]:
                 room[k] += n
-        out = []
+        out = {}
         for k, n in room.items():
             if n < self.least[k]:
                 continue
             own = np.isin(codes, np.fromiter(self.counts[k], np.int64))
-            if found := self.best(k, both[own], codes[own]):
-                out.append((found, k))
-        out.sort(key=lambda x: (-x[0][0], -self.sizes[x[1]], self.names[x[1]]))
-        return [(self.names[k], *found) for found, k in out]
+            if found := list(self.windows(k, both[own], codes[own])):
+                out[k] = found
+        return out
+
+    def _named(self, found: list[tuple[tuple[float, int, int], int]]) -> list[tuple[str, float, int, int]]:
+        found.sort(key=lambda x: (-x[0][0], -self.sizes[x[1]], self.names[x[1]], x[0][1]))
+        return [(self.names[k], *window) for window, k in found]
+
+    def scan(self, text: bytes) -> list[tuple[str, float, int, int]]:
+        """Template name, likeness, first bigram and end of the likest window of each template that has one, likest
+        first."""
+        return self._named([(max(found, key=lambda x: x[0]), k) for k, found in self.candidates(text).items()])
+
+    def resolve(self, text: bytes) -> list[tuple[str, float, int, int]]:
+        """Template name, likeness, first bigram and end of the windows that stay, likest first."""
+        found = self.candidates(text)
+        if not found:
+            return []
+        low = text.lower()
+        spans = [m.span() for m in WORD.finditer(low)]
+        own = []
+        for k, windows in found.items():
+            if self.sizes[k] >= SHORT:
+                windows = windows[-1:]
+            own += [(round(x[0] * (x[2] - x[1] + self.sizes[k])), x, k) for x in windows]
+        own.sort(key=lambda x: (-x[0], -x[1][0], -self.sizes[x[2]], self.names[x[2]], x[1][1]))
+        starts: list[int] = []
+        ends: list[int] = []
+        kept = []
+        for _, window, k in own:
+            _, a, b = window
+            at = bisect.bisect_left(ends, a + 1)
+            if at < len(starts) and starts[at] < b or not self.same(k, low, spans[a][0], spans[b][1]):
+                continue
+            starts.insert(at, a)
+            ends.insert(at, b)
+            kept.append((window, k))
+        return self._named(kept)
+
+    def same(self, k: int, low: bytes, start: int, end: int) -> bool:
+        """Whether a window names template k's variants and versions; a version goes on beyond the window's end."""
+        if self.sizes[k] >= SHORT:
+            return True
+        variants, versions = signature(low[start : re.compile(rb"(?:\.\d+)*").match(low, end).end()])
+        return variants == self.signatures[k][0] and versions >= self.signatures[k][1]
 
 
 def matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES, like: float = LIKE) -> DataFrame:
-    """doc_id, template, license, dice, start and end (bigram places) of every match in docs (doc_id, text)."""
+    """doc_id, template, license, dice, start and end (bigram places) of every window that stays in docs (doc_id, text)."""
     schema = "doc_id long, template string, license string, dice double, start long, end long"
     return _map(docs, schema, templates, like, lambda doc_id, found: [(doc_id, x[0], x[0].partition("#")[0], *x[1:]) for x in found])
 
@@ -152,7 +217,7 @@ def _map(docs: DataFrame, schema: str, templates: dict[str, str], like: float, r
         scanner = Scanner(templates, like)
         for batch in batches:
             for some in common.slices(batch):
-                out = [r for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True) for r in rows(doc_id, scanner.scan(text))]
+                out = [r for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True) for r in rows(doc_id, scanner.resolve(text))]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kinds[kind]) for k, (_, kind) in enumerate(fields)], names=[n for n, _ in fields])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.utf8("text")).mapInArrow(run, schema)
