@@ -288,6 +288,19 @@ def test_licences_differ_by_their_distinguishing_words():
     assert licences_of("The header. " + licenses.TEMPLATES["BSD-3-Clause"].replace("the copyright holder", "Example Inc")) == ["BSD-3-Clause"]
 
 
+def test_licence_headers_and_texts():
+    header = "// This program is free software: you can redistribute it and/or modify\n// it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\n// This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details."
+    assert licences_of(header) == ["AGPL-3.0"]
+    assert licences_of(header.replace("Affero", "Lesser")) == ["LGPL-3.0"]
+    assert licences_of(header.replace("Affero", "Lesser").replace("version 3", "version 2.1").replace("program", "library")) == ["LGPL-2.1"]
+    for name in ("Apache-2.0", "MPL-2.0", "AGPL-3.0", "GPL-3.0", "LGPL-2.1", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "BSD-2-Clause"):
+        words = licenses.TEMPLATES[f"{name}#text"].split()
+        assert licences_of(" ".join(words[: len(words) * 7 // 8])) == [name]
+    assert licences_of(licenses.TEMPLATES["CC-BY-SA-4.0#text"].replace("ShareAlike", "NonCommercial-ShareAlike")) == []
+    gpl, agpl = (licenses.TEMPLATES[f"{x}#text"] for x in ("GPL-3.0", "AGPL-3.0"))
+    assert licences_of(gpl + " x x x " + " ".join(w if k % 20 else "x" for k, w in enumerate(agpl.split())) + " x x x " + gpl) == ["AGPL-3.0", "GPL-3.0"]
+
+
 def test_licence_rows(spark):
     texts = [None, "", "Nothing here", "Intro.\n" + licenses.TEMPLATES["MIT"].replace("Software", "Program") + "\nmore", "x. Released under the MIT License. Licensed under CC BY-NC 4.0."]
     got = {r.doc_id: r for r in licenses.scan(docs(spark, texts)).filter("doc_id <> 1 OR license IS NOT NULL").collect()}

@@ -2,12 +2,14 @@
 
 Texts and templates are normalised to words of lower-case letters and digits (bytes beyond ASCII count as letters). A
 window is a run of a text's bigrams; its likeness to a template is 2 * common / (window + template), bigrams counted
-with their repeats. A window that reaches LIKE is a candidate: of a template of less than SHORT bigrams the likest window from each
-start, of a longer one its likest window, of equally like ones the first, of those the shortest.
+with their repeats. A window that reaches LIKE is a candidate: of a template of less than SHORT bigrams the likest from
+each start; of a longer one the likest, and again the likest beside the windows that stay; of equally like ones the
+first, of those the shortest.
 
 Sibling licences differ by a word or a number, which Dice hardly sees. So a candidate of a short template must name the
-same variants (Lesser, Affero, NonCommercial and so on) and the template's versions, and of candidates that overlap only
-the one with most bigrams in common stays, of those the likest. A document's licences are those of what stays.
+same variants (Lesser, Affero, NonCommercial and so on) and the template's versions, one of a long CC text the same
+variants. Of candidates that overlap only the one stays that has most bigrams in common, less those of the window and
+of the template that aren't. A document's licences are those of what stays.
 
 Size bounds prune: a window that reaches LIKE has at most template * (2 - LIKE) / LIKE bigrams and holds at least
 template * LIKE / (2 - LIKE) of the template's. A template with fewer of its bigrams in the whole text, or not so many
@@ -21,6 +23,7 @@ table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import bisect
+import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -31,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.llm import common
+from tramline.llm.license_texts import TEXTS
 
 LIKE, SHORT = 0.85, 300
 RESULT = "doc_id long, license string, dice double, n_licenses long, licenses string"
@@ -66,7 +70,7 @@ TEMPLATES = {
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-}
+} | TEXTS
 
 
 def signature(text: bytes) -> tuple[set[bytes], set[tuple[bytes, ...]]]:
@@ -103,28 +107,27 @@ class Scanner:
         starts = np.flatnonzero(at[least - 1 :] - at[: len(at) - least + 1] < most)
         reach = np.minimum(np.searchsorted(at, at[starts] + most) - starts, size)
         top = 0.0
+        # a place adds to what is in common if, of its bigram, the window holds fewer before it than the template has
+        order = np.argsort(codes, kind="stable")
+        sorted_ = codes[order]
+        earlier = np.arange(len(codes)) - np.fromiter((self.counts[k][c] for c in sorted_.tolist()), np.int64, len(codes))
+        held = earlier >= np.searchsorted(sorted_, sorted_)
+        full = np.full(len(codes), -1)
+        full[order[held]] = order[earlier[held]]
         for i, room in zip(starts.tolist(), reach.tolist(), strict=True):
             if 2 * room / (room + size) <= top:
                 continue
-            left, common_, found = dict(self.counts[k]), 0, None
-            for j in range(i, min(len(at), i + most)):
-                length = int(at[j] - at[i]) + 1
-                if length > most:
-                    break
-                code = int(codes[j])
-                if left[code]:
-                    left[code] -= 1
-                    common_ += 1
-                    like = 2 * common_ / (length + size)
-                    if like >= self.like and like > (found[0] if found else top):
-                        found = (like, int(at[i]), int(at[j]) + 1)
-            if found:
-                yield found
+            end = min(len(at), i + most)
+            length = at[i:end] - at[i] + 1
+            likes = np.where(length <= most, 2 * np.cumsum(full[i:end] < i) / (length + size), 0.0)
+            j = int(likes.argmax())
+            if likes[j] >= self.like and likes[j] > top:
+                yield float(likes[j]), int(at[i]), int(at[i + j]) + 1
                 if size >= SHORT:
-                    top = found[0]
+                    top = float(likes[j])
 
-    def candidates(self, text: bytes) -> dict[int, list[tuple[float, int, int]]]:
-        """The windows of each template that has some."""
+    def candidates(self, text: bytes) -> dict[int, tuple[list[tuple[float, int, int]], np.ndarray, np.ndarray]]:
+        """The windows of each template that has some, and its bigrams' places and codes."""
         get = self.ids.get
         ids = np.array([get(w, 0) for w in WORD.findall(text.lower())], np.int64)
         if len(ids) < 2:
@@ -147,7 +150,7 @@ class Scanner:
                 continue
             own = np.isin(codes, np.fromiter(self.counts[k], np.int64))
             if found := list(self.windows(k, both[own], codes[own])):
-                out[k] = found
+                out[k] = found, both[own], codes[own]
         return out
 
     def _named(self, found: list[tuple[tuple[float, int, int], int]]) -> list[tuple[str, float, int, int]]:
@@ -157,7 +160,7 @@ class Scanner:
     def scan(self, text: bytes) -> list[tuple[str, float, int, int]]:
         """Template name, likeness, first bigram and end of the likest window of each template that has one, likest
         first."""
-        return self._named([(max(found, key=lambda x: x[0]), k) for k, found in self.candidates(text).items()])
+        return self._named([(max(found, key=lambda x: x[0]), k) for k, (found, *_) in self.candidates(text).items()])
 
     def resolve(self, text: bytes) -> list[tuple[str, float, int, int]]:
         """Template name, likeness, first bigram and end of the windows that stay, likest first."""
@@ -166,31 +169,49 @@ class Scanner:
             return []
         low = text.lower()
         spans = [m.span() for m in WORD.finditer(low)]
-        own = []
-        for k, windows in found.items():
-            if self.sizes[k] >= SHORT:
-                windows = windows[-1:]
-            own += [(round(x[0] * (x[2] - x[1] + self.sizes[k])), x, k) for x in windows]
-        own.sort(key=lambda x: (-x[0], -x[1][0], -self.sizes[x[2]], self.names[x[2]], x[1][1]))
+        queue = []
         starts: list[int] = []
         ends: list[int] = []
         kept = []
-        for _, window, k in own:
+
+        def add(k: int, window: tuple[float, int, int]) -> None:
+            like, a, b = window
+            # bigrams in common less those of window and template that aren't
+            score = round((1.5 * like - 1) * (b - a + self.sizes[k]))
+            heapq.heappush(queue, (-score, -like, -self.sizes[k], self.names[k], a, window, k))
+
+        def add_beside(k: int) -> None:
+            _, at, codes = found[k]
+            bounds = np.searchsorted(at, [0, *(x for y in zip(starts, ends, strict=True) for x in y), len(spans)])
+            beside = [w for a, b in zip(bounds[::2], bounds[1::2], strict=True) for w in list(self.windows(k, at[a:b], codes[a:b]))[-1:]]
+            if beside:
+                add(k, max(beside, key=lambda x: x[0]))
+
+        for k, (windows, *_) in found.items():
+            for window in windows[-1:] if self.sizes[k] >= SHORT else windows:
+                add(k, window)
+        while queue:
+            *_, window, k = heapq.heappop(queue)
             _, a, b = window
             at = bisect.bisect_left(ends, a + 1)
-            if at < len(starts) and starts[at] < b or not self.same(k, low, spans[a][0], spans[b][1]):
+            free = at == len(starts) or starts[at] >= b
+            if free and not self.same(k, low, spans[a][0], spans[b][1]):
                 continue
-            starts.insert(at, a)
-            ends.insert(at, b)
-            kept.append((window, k))
+            if free:
+                starts.insert(at, a)
+                ends.insert(at, b)
+                kept.append((window, k))
+            if self.sizes[k] >= SHORT:
+                add_beside(k)
         return self._named(kept)
 
     def same(self, k: int, low: bytes, start: int, end: int) -> bool:
         """Whether a window names template k's variants and versions; a version goes on beyond the window's end."""
-        if self.sizes[k] >= SHORT:
+        creative = self.names[k].startswith("CC-BY")
+        if self.sizes[k] >= SHORT and not creative:
             return True
         variants, versions = signature(low[start : re.compile(rb"(?:\.\d+)*").match(low, end).end()])
-        return variants == self.signatures[k][0] and versions >= self.signatures[k][1]
+        return variants == self.signatures[k][0] and (self.sizes[k] >= SHORT or versions >= self.signatures[k][1])
 
 
 def matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES, like: float = LIKE) -> DataFrame:
