@@ -140,6 +140,17 @@ def test_toxicity_on_held_out_labels(spark):
     assert (own.predicted == own.toxic).mean() >= 0.85
 
 
+def test_toxicity_samples_among_documents_that_fit(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", (8, 8))
+    labels = spark.createDataFrame([(k, 0, k % 2) for k in range(2000)], "doc_id long, quality int, toxic int")
+    here = [(k, ("you are bad" if k % 2 else "all is fine here") + (" long" * 4000 if k < 1500 else "")) for k in range(1000, 1600)]
+    net = toxicity.train(spark.createDataFrame(here, "doc_id long, text string"), labels)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic, share: seen.extend(zip(texts, toxic, strict=True)))
+    toxicity.train(spark.createDataFrame(here, "doc_id long, text string"), labels)
+    assert net is not None and sum(y for _, y in seen) == 8 and len(seen) == 16
+
+
 def test_toxicity_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (None, "some text", "a"), (2, "", "a"), (3, "w " * 50_000, "a")], "doc_id long, text string, score string")
     labels = spark.createDataFrame([(1, 1, None), (2, 1, 0), (2, 1, 1)], "doc_id long, quality int, toxic int")

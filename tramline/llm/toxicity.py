@@ -334,10 +334,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Net | None:
     own = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
     own = own.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = [own.filter(F.col("toxic") == k).orderBy(*order).limit(n) for k, n in ((1, SAMPLE[0]), (0, SAMPLE[1]))]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.utf8("text")).filter(F.octet_length("text").between(1, LONGEST))
+    fitting = common.cut(own.join(docs.select("doc_id"), "doc_id", "left_semi"))
+    chosen = [fitting.filter(F.col("toxic") == k).orderBy(*order).limit(n) for k, n in ((1, SAMPLE[0]), (0, SAMPLE[1]))]
     chosen = common.cut(chosen[0].unionByName(chosen[1]))  # at most sum(SAMPLE) ids
     share = own.agg(F.avg("toxic")).first()[0]
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.utf8("text")).filter(F.octet_length("text").between(1, LONGEST))
     rows = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).toArrow()
     order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
     texts, toxic = rows.column("text").to_pylist(), rows.column("toxic").to_pylist()
