@@ -107,6 +107,17 @@ def test_windows_cover_every_word():
         assert all(b - a <= toxicity.WINDOW for a, b in spans) and all(y[0] - x[0] == toxicity.STRIDE for x, y in zip(spans, spans[1:], strict=False))
 
 
+def test_words_of_texts_without_ascii_spaces():
+    spaces = [chr(k) for k in range(0x3001) if chr(k).isspace()]
+    assert toxicity.words_of(("A" + "É".join(spaces) + "b").encode()) == [b"a", *["É".encode()] * (len(spaces) - 1), b"b"]
+    for word in ("漢字かな" * 500, "x" * 97, "é" * 49):
+        words = [w.decode() for w in toxicity.words_of(word.encode())]
+        assert len(words) > 10 and all(len(w) <= toxicity.PIECE for w in words)
+        assert "".join(w[: toxicity.PIECE // 2] for w in words[:-1]) + words[-1] == word
+    assert len(toxicity.words_of(b"y" * 96)) == 1
+    assert len(toxicity.windows(np.array([len(toxicity.words_of(("漢字かな" * 500).encode()))]))[0]) > 30
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     net = toxicity.Net({b"bad": 1, b"word": 2}, rng)

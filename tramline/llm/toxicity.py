@@ -2,8 +2,9 @@
 
 A word's input is the embedding of the word (of those frequent in the training sample; others share a zero row) next
 to the mean embedding of its hashed character trigrams. Windows of WINDOW words start every STRIDE words and cover the
-whole text; each is read in both directions, pooled by attention and given a logit. The largest logit of a text,
-scaled on training documents that took no part in the fit, is its score.
+whole text (words lie between Unicode white space, and one of more than LONG bytes is cut into overlapping pieces, so that
+texts without spaces have windows too); each is read in both directions, pooled by attention and given a logit. The
+largest logit of a text, scaled on training documents that took no part in the fit, is its score.
 
 Training: labels come only from rows whose crc32(doc_id as text) mod 5 is not 0, and of these from a bounded sample:
 the SAMPLE (toxic, other) rows first by hash of doc_id, among documents of at most LONGEST bytes. A document's label
@@ -18,6 +19,7 @@ stay; an empty table gives no rows; other columns are ignored (the filter keeps
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,6 +35,11 @@ WORD_DIM, CHAR_DIM, TRIGRAMS, MIN_DOCS = 12, 12, 4096, 4
 SAMPLE, LONGEST = (1500, 3000), 8_000
 EPOCHS, WIDE, TRIM, BATCH, RATE, SEED = 14, 3, 6, 128, 0.01, 7
 KNOWN, BLOCK = 300_000, 4096
+#: A longer word (in bytes) has no spaces to go by, and is read in pieces of that many characters.
+LONG, PIECE = 96, 8
+#: ASCII in lower case and separators as spaces; and the UTF-8 of other white space.
+LOWER = bytes(32 if 28 <= x < 32 else x + 32 if 65 <= x <= 90 else x for x in range(256))
+SPACES = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2(?:\x80[\x80-\x8a\xa8\xa9\xaf]|\x81\x9f)|\xe3\x80\x80")
 MARKS = bytes(x for x in range(33, 127) if not chr(x).isalnum())
 RESULT = "doc_id long, held_out boolean, score double, predicted int"
 
@@ -45,7 +52,17 @@ def held_out(doc_id: Column) -> Column:
 
 
 def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split()
+    """The words between Unicode white space; a word of more than LONG bytes as overlapping pieces of characters."""
+    low = text.translate(LOWER)
+    words = (low if low.isascii() else SPACES.sub(b" ", low)).split()
+    if max(map(len, words), default=0) <= LONG:
+        return words
+    return [piece for w in words for piece in ([w] if len(w) <= LONG else pieces(w.decode("utf-8", "surrogateescape")))]
+
+
+def pieces(word: str) -> list[bytes]:
+    """PIECE characters from every PIECE // 2nd on; the last ends with the word."""
+    return [word[k : k + PIECE].encode("utf-8", "surrogateescape") for k in range(0, max(1, len(word) - PIECE // 2), PIECE // 2)]
 
 
 def trigrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
