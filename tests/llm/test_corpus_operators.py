@@ -96,6 +96,13 @@ def test_keep_one(spark):
     assert Counter(r.doc_id for r in kept.collect()) == {2: 1, None: 1, 9: 1}
 
 
+def test_keep_one_of_each_group_where_ids_repeat(spark):
+    a, b, c = "alpha text about trams in the city", "quite another story of 17 wild geese", "numbers 1 2 3 and nothing else at all"
+    keep = lambda rows: Counter((r.doc_id, r.text) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert keep([(5, a), (5, b), (3, b)]) == {(5, a): 1, (3, b): 1}
+    assert keep([(5, a), (5, b), (5, b), (7, c), (9, a), (None, a)]) == {(5, a): 1, (5, b): 1, (7, c): 1, (None, a): 1}
+
+
 # ---- toxicity
 
 

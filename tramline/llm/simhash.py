@@ -229,18 +229,19 @@ def connect(stars: DataFrame) -> DataFrame:
             return labels
 
 
-def assign(prints: DataFrame, split: int = SPLIT) -> DataFrame:
-    """doc_id, fp, component_id of documents' fingerprints (doc_id, fp), which should be written already."""
+def assign(prints: DataFrame, split: int = SPLIT, lead: bool = False) -> DataFrame:
+    """doc_id, fp, component_id of documents' fingerprints (doc_id, fp), which should be written already; with lead also
+    lead, the component's fingerprint of smallest (doc_id, fp)."""
     first = common.cut(prints.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("first")))
     stars = common.cut(links(first, split))
-    own = first.select("fp", F.col("first").alias("component_id"))
+    own = first.select("fp", F.col("first").alias("component_id"), F.col("fp").alias("lead"))
     if not stars.isEmpty():
         own = first.join(connect(stars).select(F.col("v").alias("fp"), "label"), "fp", "left")
-        own = own.select("fp", F.coalesce("label.first", "first").alias("component_id"))
+        own = own.select("fp", F.coalesce("label.first", "first").alias("component_id"), F.coalesce("label.fp", "fp").alias("lead"))
     # under another key, so that both sides are dealt out anew and Spark can split the partition of a hot fingerprint
-    own = common.cut(own.select(F.bitwise_not("fp").alias("key"), "component_id"))
+    own = common.cut(own.select(F.bitwise_not("fp").alias("key"), "component_id", *["lead"] * lead))
     joined = prints.withColumn("key", F.bitwise_not("fp")).join(own, "key", "left")
-    return joined.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    return joined.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), *["lead"] * lead)
 
 
 def near_duplicates(docs: DataFrame, split: int = SPLIT) -> DataFrame:
@@ -250,13 +251,17 @@ def near_duplicates(docs: DataFrame, split: int = SPLIT) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs without all but the document of smallest doc_id of each group; of rows with equal doc_id one stays, rows
-    without doc_id all stay."""
-    groups = near_duplicates(docs.select("doc_id", "text"))
+    """docs without all but one row of each group, that of smallest doc_id and then fingerprint; of rows with equal both
+    that of smallest text stays, rows without doc_id all stay. A doc_id with texts of several groups may stay in each."""
+    groups = common.cut(assign(common.cut(fingerprints(docs.select("doc_id", "text"))), lead=True).filter("doc_id IS NOT NULL"))
+    again = common.cut(groups.groupBy("doc_id").count().filter("count > 1").select("doc_id"))
     gone = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    rest = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    again = common.cut(rest.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id"))
     if again.isEmpty():
-        return rest
-    twice = rest.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rest.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(twice.select(docs.columns))
+        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    rest = docs.join(gone.union(again).distinct(), "doc_id", "left_anti").select(docs.columns)
+    at = common.cut(docs.join(again, "doc_id", "left_semi").select(F.monotonically_increasing_id().alias("at"), F.struct(*docs.columns).alias("row")))
+    own = fingerprints(at.select(F.col("at").alias("doc_id"), F.col("row.text").alias("text"))).select(F.col("doc_id").alias("at"), "fp")
+    leads = groups.filter("doc_id = component_id AND fp = lead").select("doc_id", "fp").distinct()
+    first = at.join(own, "at").select("at", F.col("row.doc_id").cast("long").alias("doc_id"), F.col("row.text").alias("text"), "fp").join(leads, ["doc_id", "fp"], "left_semi")
+    first = first.groupBy("doc_id", "fp").agg(F.min(F.struct("text", "at")).alias("least")).select(F.col("least.at").alias("at"))
+    return rest.unionByName(at.join(first, "at", "left_semi").select("row.*"))
