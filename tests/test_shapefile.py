@@ -18,3 +18,12 @@ def test_round_trip(spark, tmp_path, kind, parts):
 def test_no_rows():
     out = shapefile.write_shapefile("Point", [])
     assert len(out["shp"]) == 100 and list(shapefile.shapes(out["shp"])) == [] and list(shapefile.attributes(out["dbf"])) == []
+
+
+def test_what_does_not_fit_is_an_error():
+    point = [[(20.5, 52.25)]]
+    out = shapefile.write_shapefile("Point", [(point, {"n" * 10: "x" * 254})])
+    assert list(shapefile.attributes(out["dbf"])) == [{"n" * 10: "x" * 254}]
+    for properties in ({"route_ids": "Łódź" * 37}, {"route_trip_counts": "1"}):
+        with pytest.raises(ValueError, match="route_"):
+            shapefile.write_shapefile("Point", [(point, properties)])

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 #: Fixed values of the format: shape type codes and the file code of the header.
 KINDS = {0: "Null", 1: "Point", 3: "LineString", 5: "Polygon"}
 FILE_CODE, VERSION = 9994, 1000
+#: What an attribute and its name can hold, in bytes.
+WIDEST, LONGEST = 254, 10
 SCHEMA = "file string, record long, kind string, parts array<array<array<double>>>, properties map<string,string>"
 
 
@@ -74,7 +76,10 @@ def read_shapefile(spark: SparkSession, uri: str, encoding: str = "utf-8") -> Da
 
 
 def write_shapefile(kind: str, rows: list[tuple[list[list[tuple[float, float]]], dict[str, str | None]]]) -> dict[str, bytes]:
-    """The .shp, .shx and .dbf of parts and attributes; polygons' rings as given."""
+    """The .shp, .shx and .dbf of parts and attributes; polygons' rings as given.
+
+    The format holds attributes of at most WIDEST bytes under names of at most LONGEST bytes; longer ones are an error.
+    """
     code = {v: k for k, v in KINDS.items()}[kind]
     records, box = [], [float("inf"), float("inf"), float("-inf"), float("-inf")]
     for parts, _ in rows:
@@ -92,9 +97,16 @@ def write_shapefile(kind: str, rows: list[tuple[list[list[tuple[float, float]]],
         body, index, at = body + head + r, index + struct.pack(">2i", at, len(r) // 2), at + (8 + len(r)) // 2
     header = lambda n: struct.pack(">i5ii", FILE_CODE, 0, 0, 0, 0, 0, (100 + n) // 2) + struct.pack("<2i8d", VERSION, code, *(box if rows else [0] * 4), 0, 0, 0, 0)
     names = list(rows[0][1]) if rows else []
-    cells = [[("" if p[n] is None else str(p[n])).encode()[:254] for n in names] for _, p in rows]
+    cells = [[("" if p[n] is None else str(p[n])).encode() for n in names] for _, p in rows]
+    for n in names:
+        if len(n.encode()) > LONGEST:
+            raise ValueError(f"attribute name {n!r} has more than {LONGEST} bytes, which a shapefile can't hold")
+    for k, row in enumerate(cells):
+        for n, c in zip(names, row, strict=True):
+            if len(c) > WIDEST:
+                raise ValueError(f"attribute {n!r} of record {k} has {len(c)} bytes, a shapefile holds at most {WIDEST}")
     wide = [max([1, *(len(c[k]) for c in cells)]) for k in range(len(names))]
-    fields = b"".join(struct.pack("<11sc4xBB14x", n.encode()[:10], b"C", w, 0) for n, w in zip(names, wide, strict=True))
+    fields = b"".join(struct.pack("<11sc4xBB14x", n.encode(), b"C", w, 0) for n, w in zip(names, wide, strict=True))
     table = struct.pack("<B3BIHH20x", 3, 126, 1, 1, len(rows), 33 + len(fields), 1 + sum(wide)) + fields + b"\r"
     table += b"".join(b" " + b"".join(c.ljust(w) for c, w in zip(row, wide, strict=True)) for row in cells) + b"\x1a"
     return {"shp": header(len(body)) + body, "shx": header(len(index)) + index, "dbf": table}
