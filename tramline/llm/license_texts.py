@@ -1,7 +1,7 @@
 """Licence texts, headers and sentences, by SPDX-like name; white space is not as published.
 
 The texts of AGPL-3.0 and CC-BY-4.0 are assembled from those of GPL-3.0 and CC-BY-SA-4.0 and the passages in which they
-differ; the others are whole.
+differ, written from memory and not compared with the published texts.
 """
 
 TEXTS = {
