@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -160,7 +161,10 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
         (None, ""), ("", ""), ("plain &amp; text", "plain & text"), ("<p>Hi <b>you</b>th</p>", "Hi youth"), ("<p>a &lt;b&gt;\n x<!-- open", "a <b> x"), ("<p>a<script>x</p>", "a"), ("a < b <c", "a < b"),
         (PAGE % "<article><h1>Head</h1><p>One <i>two</i>.\n<p>Three<br>four<div class='ad'>buy</div><ul><li>five<li>six</ul></article>", "Head One two. Three four five six"),
         (PAGE % ("<div class=content><p>" + "long words " * 20 + "</p><p>end</p></div>"), "long words " * 20 + "end"),
-        (PAGE % "<main><p>a</p><article><p>b</p></article></main>", "b"),
+        (PAGE % "<main><p>a</p><article><p>b</p></article></main>", "a b"),
+        ("<p>İİİİİİ</p><SCRIPT>x</Script ><p>abcdef</p>", "İİİİİİ abcdef"), ("<p>a<button>x<p>b</p><select><option>y</select>c", "a x b c"), ("a<button>x<button>y</BUTTON>c", "a c"), ("<li>a<li>b<td>c", "a b c"),
+        ("<p>" + "words " * 60 + "</p>" + "<div class=x>" * 9 + "<p>Buy</p>" + "</div>" * 9 + "<p>" + "more " * 60, "words " * 60 + "Buy " + "more " * 59 + "more"),
+        ("<p>" + "words " * 60 + "</p>" + "<div class=x>" * 9 + "<p>Buy</p>", "words " * 59 + "words"),
         (PAGE % "", ""),
     ],
 )
@@ -168,26 +172,76 @@ def test_main_text(html, text):
     assert html_text.extract(html) == text
 
 
-def test_line_blocks_decide_inside_the_article():
+def test_line_blocks_decide():
     body = "<p>" + "long words " * 20 + "</p>"
     links = "<ul>" + "<li><a href=/x>Read this too</a></li>" * 5 + "</ul>"
     got = html_text.extract(PAGE % f"<article><h1><a href=/>Head</a></h1>{body}{links}<p>Tags</p></article>")
     assert got == "Head " + "long words " * 19 + "long words"
-    assert html_text.extract(PAGE % f"<article><p>Start.</p><div class=ad>buy</div>{body}</article><p>Out</p>").startswith("Start. long")
+    assert html_text.extract(PAGE % f"<article><p>Start.</p><div class=ad>buy</div>{body}</article><p>Out</p>") == "Start. " + "long words " * 19 + "long words"
     far = "<div>" + "other prose " * 40 + "</div>"
     assert "other prose" in html_text.extract(PAGE % f"<article>{body}</article>{far}")
+    for name in ("post-header", "share-price", "site-content right-sidebar", "x"):  # names that only hold a mark drop nothing
+        assert "other prose" in html_text.extract(PAGE % f"<div class='{name}'>{far}{body}</div>")
+    # a mark weighs, and much text outweighs it
+    assert html_text.extract(f"<div class=sidebar>{'<p>' + 'other prose ' * 200 + '</p>'}</div><p>Short</p>").startswith("other prose")
+    assert html_text.extract(f"<div class=sidebar>{far}</div><p>Short</p>") == "Short"
+
+
+@pytest.mark.parametrize("html", ["<i>" * 100_000 + "x" + "</u>" * 100_000, "<div>" * 100_000 + "x" + "</div>" * 100_000, "<h2>" * 50_000 + "</li><li>" * 50_000 + "x", "<button>" * 100_000 + "x", "<nav>" * 50_000 + "<p>x"])
+def test_pages_of_many_tags(html):
+    began = time.time()
+    assert html_text.extract(html) in ("x", "")
+    assert time.time() - began < 20
+
+
+def by_definition(page):
+    """The same choice of lines by comparing every pair of lines, window by window."""
+    chosen, wide = {}, html_text.WINDOW
+    for c in page.columns:
+        full = [k for k, size in enumerate(c.sizes) if size]
+        same = lambda a, b, c=c: all(sum(c.sizes[k : k + wide]) for k in range(a, b - wide + 1))
+        groups = {a: [b for b in full if same(min(a, b), max(a, b))] for a in full}
+        chosen[id(c)] = sorted({(min(g), max(g)) for g in groups.values()})
+    size = lambda c, ab: sum(c.sizes[ab[0] : ab[1] + 1])
+    most = max([size(c, ab) for c in page.columns if c.weight == 1 for ab in chosen[id(c)]], default=0)
+    out = []
+    for c in page.columns:
+        good = [ab for ab in chosen[id(c)] if (size(c, ab) >= min(html_text.SURGE, most / 4) if c.weight == 1 else size(c, ab) / c.weight >= max(html_text.SURGE, most))]
+        if good:
+            bounds = [ab for ab in chosen[id(c)] if good[0][0] <= ab[0] <= good[-1][0]]
+            out += [c.texts[k] for k in c.texts if any(a <= k <= b for a, b in bounds)]
+    return " ".join(text for _, text in sorted(out))
 
 
-def test_main_text_of_articles_by_regular_expressions(spark):
+def article(html):
     import html as h
 
+    body = re.search(r"<article>(.*?)(?:</article>|\Z)", html, re.S)[1]
+    blocks = [" ".join(h.unescape(x).split()) for x in re.split(r"<[^>]*>", re.sub(r"</?b>", "", body))]
+    return " ".join(x for x in blocks if x)
+
+
+def test_main_text_of_pages(spark, monkeypatch):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r.page_id: r for r in html_text.main_text(pages).collect()}
-    for r in pages.collect():
-        body = re.search(r"<article>(.*?)(?:</article>|\Z)", r.html, re.S)[1]
-        blocks = [" ".join(h.unescape(x).split()) for x in re.split(r"<[^>]*>", re.sub(r"</?b>", "", body))]
-        assert got[r.page_id].text == " ".join(x for x in blocks if x)
+    rows = pages.collect()
+    for r in rows:
+        assert got[r.page_id].text == article(r.html) == by_definition(html_text.Page(r.html))
         assert got[r.page_id].n_chars == len(got[r.page_id].text)
+    # the line blocks alone, without any mark, find nearly all; without the blocks nothing is right
+    monkeypatch.setattr(html_text, "marked", lambda *_: False)
+    assert sum(html_text.extract(r.html) == article(r.html) for r in rows) >= 0.9 * len(rows)
+    assert all(html_text.extract(r.html) == by_definition(html_text.Page(r.html)) for r in rows)
+    every = lambda page: " ".join(t for _, t in sorted(x for c in page.columns for x in c.texts.values()))
+    assert not any(every(html_text.Page(r.html)) == article(r.html) for r in rows)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_line_blocks_of_random_pages(seed):
+    draw = random.Random(seed)
+    tags = ["<p>", "</p>", "<div>", "</div>", "<ul>", "<li>", "</ul>", "<br>", "<nav>", "</nav>", "<div class=ad>", "<article>", "</article>", "<h2>", "</h2>", "<a href=x>", "</a>", "<table><tr><td>", "</table>", "<aside>", "</aside>"]
+    html = "".join(draw.choice(tags) if draw.random() < 0.75 else "word " * draw.randrange(1, 60) for _ in range(250))
+    assert html_text.extract(html) == by_definition(html_text.Page(html))
 
 
 def test_main_text_rows(spark):

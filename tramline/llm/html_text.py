@@ -1,28 +1,37 @@
 """Operator 7, HTML extraction by line-block distribution.
 
-Markup is stripped into lines, one a block of text; a boilerplate element (by tag, role, or words of its class and id)
-leaves GAP empty lines, and a line that is mostly link text counts as empty (links in the h1 of an article are no link
-text). The text lengths are summed over windows of GAP + 1 lines. A surge point is where the sum leaves zero, the dive
-point where it comes back to zero; a run between them is kept if its text reaches SURGE characters, or if it is the
-longest run.
+Markup is stripped into lines: each block tag ends a line, so tags without text between them leave empty lines, and the
+farther apart two blocks are in the page's structure, the more empty lines lie between them. Only what can never be text
+is stripped with its markup: scripts, styles, templates, form controls, embedded objects, comments, the head's title.
 
-Where an article (else main) element holds text, it is a prior. Runs inside and outside it are found apart. Inside, a run
-is also kept that reaches INSIDE characters or a quarter of the longest run, holds an h1, or ends as a sentence does;
-outside, only one that reaches SURGE and is as long as the longest inside.
+A line's size is its text outside links, and none where most of it is links, unless it is a heading. The sizes are summed
+over windows of WINDOW lines. A surge point is where the sum leaves zero, the dive point where it comes back to zero; the
+lines between them are a run. Runs are kept by a threshold taken from the page: SURGE characters, or a quarter of its
+largest run if that is less. A run between two that are kept stays as well, and a kept run keeps all its lines.
+
+Marks only weigh and space the lines; they keep or drop none by themselves. An article or main element is set off by
+WINDOW empty lines from what is around it, and inside it plain tags leave no more than its windows bridge. An element
+marked as no part of an article (nav, aside, footer, form, dialog, menu, a header outside article and main, the same as
+roles, or class and id names all of whose parts are MARKS or GLUE) is a column of lines of its own, beside those around
+it, so that an advert doesn't cut an article in two; in such a column a run counts a MARKED-th of its size, and needs
+SURGE and the largest other run's size.
 
 In the text, character references are decoded, white space inside a block becomes one space, ends are trimmed, and
-blocks are joined in page order by one space. Nothing else is dropped, and nothing is cut off.
+blocks are joined in page order by one space. Nothing is cut off.
 
 Defined results: null or empty html and pages without text give an empty string; an unclosed comment or raw-text element
-ends with the page; a tag that the page's end cuts is dropped; unclosed elements end with their parent; rows with a
-null page_id or url stay; repeated rows each stay; an empty table gives no rows; other columns are ignored.
+ends with the page, an unclosed control or embedded object holds nothing; a tag that the page's end cuts is dropped; unclosed elements end with their parent; an end tag that
+DEPTH open elements or more separate from its start is ignored; rows with a null page_id or url stay; repeated rows each
+stay; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tramline.llm import common
 
-GAP, SURGE, INSIDE = 2, 80, 20
+WINDOW, SURGE, MARKED, DEPTH = 5, 120, 16, 256
 RESULT = "page_id long, url string, text string, n_chars long"
 
 TAG = re.compile(
@@ -41,31 +50,35 @@ TAG = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-RAW = frozenset("script style textarea title noscript template iframe noframes xmp svg math".split())
+#: Elements that hold no text of a page, up to their end tag whatever lies between.
+CONTROLS = frozenset("select button object canvas audio video datalist".split())
+RAW = CONTROLS | frozenset("script style textarea title noscript template iframe noframes xmp svg math".split())
+#: Where such an element ends; one of CONTROLS also at the next start of its kind.
+RAW_END = {x: re.compile(f"<(/{'?' * (x in CONTROLS)}){x}(?![^\\s/>])[^>]*>?", re.I) for x in sorted(RAW)}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that don't break a line.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
-BOILERPLATE = frozenset("head nav footer aside form button select dialog menu object canvas audio video map fieldset datalist".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input".split())
 CONTAINER = frozenset("html body article main section div td th table blockquote figure".split())
-#: What a start tag of these closes, if it is open above the nearest container.
-CLOSES = {"li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p"), "option": ("option",)}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What a start tag of these closes, if it is open above the nearest container or list.
+CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
+LISTS = frozenset("ul ol dl".split())
+MARKED_TAGS = frozenset("nav footer aside form dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
-#: Words of class and id names that mark boilerplate.
-WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertisements advertising adsense sponsor sponsors sponsored promo promos promotion banner banners "
-    "nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager toolbar topbar masthead header footer sidebar sidebars aside rail widget widgets "
-    "cookie cookies consent gdpr notice notices notification notifications disclaimer popup modal overlay newsletter subscribe subscription signup signin login "
-    "search social share sharing comment comments disqus reply replies respond discussion related recommended recommendations copyright".split()
+#: Words that name what is no part of an article: menus, headers, footers, sidebars, notices, adverts, forms, comments.
+MARKS = frozenset(
+    "ad ads advert adverts advertisement advertisements sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs pagination pager toolbar masthead header footer sidebar aside "
+    "widget cookie cookies consent gdpr notice notices notification popup modal newsletter subscribe subscription signup login search social sharing comment comments disqus replies copyright form".split()
 )
-#: What a sentence ends with.
-STOPS = tuple('.!?…。！？"”»')
-NOT_FIRST = frozenset("has with no is without".split())
+#: Words beside which these still name it.
+GLUE = frozenset("site page top bottom main global primary secondary list box block bar wrap wrapper container inner area section the".split())
 
 
-def boilerplate(tag: str, attributes: str, inside: bool) -> bool:
-    if tag in BOILERPLATE or tag == "header" and not inside:
+def marked(tag: str, attributes: str, inside: bool) -> bool:
+    """Whether an element is marked as no part of an article."""
+    if tag in MARKED_TAGS or tag == "header" and not inside:
         return True
-    if tag in ("html", "body", "main") or not attributes or "=" not in attributes:
+    if tag in ("html", "body", "main", "article") or "=" not in attributes:
         return False
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
@@ -73,165 +86,176 @@ def boilerplate(tag: str, attributes: str, inside: bool) -> bool:
             return True
         if name in ("class", "id"):
             for one in value.split():
-                parts = [x for x in re.split(r"[^a-z]+", one) if x]
-                if parts and parts[0] not in NOT_FIRST and (parts[0] in WORDS or parts[-1] in WORDS):
-                    if not (inside and {parts[0], parts[-1]} & WORDS == {"header"}):
-                        return True
+                words = set(re.findall("[a-z]+", one))
+                if words & MARKS and words <= MARKS | GLUE and not (inside and words & MARKS == {"header"}):
+                    return True
     return False
 
 
-class Lines:
-    """Text lines of a page: their text, how much of it is in links, whether an article or main element holds it, and whether its h1 does."""
+class Column:
+    """Lines of one flow of text: their sizes, empty ones included, and of those with text its place in the page and itself."""
+
+    def __init__(self, weight: int) -> None:
+        self.weight, self.empty = weight, 0
+        self.sizes: list[int] = []
+        self.texts: dict[int, tuple[int, str]] = {}
+
+    def add(self, text: tuple[int, str], size: int) -> None:
+        self.texts[len(self.sizes)] = text
+        self.sizes.append(size)
+        self.empty = 0
+
+    def gap(self, n: int) -> None:
+        """At least n empty lines at the end."""
+        if n > self.empty:
+            self.sizes += [0] * (n - self.empty)
+            self.empty = n
 
-    def __init__(self) -> None:
-        self.text: list[str] = []
-        self.links: list[int] = []
-        self.inside: list[str] = []
-        self.title: list[bool] = []
+
+class Page:
+    """Strips a page into columns of lines."""
+
+    def __init__(self, html: str) -> None:
+        self.columns = [Column(1)]
+        self.stack: list[tuple[str, Column, bool]] = []  # tag, its column, whether in article or main
+        self.open: Counter[str] = Counter()
         self.parts: list[str] = []
-        self.linked = 0
-
-    def add(self, text: str, link: bool) -> None:
-        self.parts.append(text)
-        if link:
-            self.linked += len("".join(text.split()))
-
-    def end(self, inside: str, title: bool) -> None:
-        if self.parts:
-            if text := " ".join("".join(self.parts).split()):
-                self.text.append(text)
-                self.links.append(self.linked)
-                self.inside.append(inside)
-                self.title.append(title)
-            self.parts, self.linked = [], 0
-
-    def gap(self) -> None:
-        self.text += [""] * GAP
-        self.links += [0] * GAP
-        self.inside += [""] * GAP
-        self.title += [False] * GAP
-
-
-def lines_of(html: str) -> Lines:
-    out = Lines()
-    stack: list[tuple[str, bool, str]] = []  # tag, boilerplate, the article or main element around
-    at, skip, inside, links, title = 0, False, "", 0, 0
-    low = None
-
-    def leave(k: int) -> None:
-        nonlocal skip, inside, links, title
-        for tag, _, around in stack[k:]:
-            links -= tag == "a"
-            title -= tag == "h1" and around != ""
-        was = skip
-        del stack[k:]
-        skip, inside = (stack[-1][1], stack[-1][2]) if stack else (False, "")
-        if was and not skip:
-            out.gap()
-
-    def opened(tags: tuple[str, ...]) -> int:
-        """Place of the outermost open one of tags above the nearest container, or -1."""
-        found = -1
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in tags:
-                found = k
-            elif stack[k][0] in CONTAINER or stack[k][0] in ("ul", "ol", "dl"):
+        self.linked = self.lines = 0
+        self.links = 0  # depth of the open link, plus one
+        self.read(html)
+
+    @property
+    def column(self) -> Column:
+        return self.stack[-1][1] if self.stack else self.columns[0]
+
+    @property
+    def inside(self) -> bool:
+        return bool(self.stack) and self.stack[-1][2]
+
+    def line(self, empty: bool = True) -> None:
+        """Ends a line; one without text is an empty line (in an article, up to what a window bridges)."""
+        column = self.column
+        text = " ".join("".join(self.parts).split()) if self.parts else ""
+        if text:
+            links = self.linked if not self.headings else 0
+            column.add((self.lines, text), len(text) if 2 * links <= len(text.replace(" ", "")) else 0)
+            self.lines += 1
+        elif empty and column.texts and not (self.inside and column.empty >= WINDOW - 1):
+            column.gap(column.empty + 1)
+        self.parts, self.linked = [], 0
+
+    def leave(self, k: int) -> None:
+        """Closes the elements from place k of the stack on."""
+        for tag, _, _ in self.stack[k:]:
+            self.open[tag] -= 1
+        bounds = any(tag in ("article", "main") for tag, _, _ in self.stack[k:])
+        del self.stack[k:]
+        if k + 1 < self.links:
+            self.links = 0
+        if bounds:
+            self.column.gap(WINDOW)
+
+    @property
+    def headings(self) -> bool:
+        """Whether a heading is open whose links count as text: any in an article, else an h1."""
+        return self.open["h1"] > 0 or self.inside and any(self.open[x] for x in HEADINGS)
+
+    def place(self, tags: tuple[str, ...], stop: frozenset[str]) -> int:
+        """Place of the innermost open one of tags, none of stop being in between, or -1."""
+        if not any(self.open[t] for t in tags):
+            return -1
+        for k in range(len(self.stack) - 1, max(len(self.stack) - DEPTH, 0) - 1, -1):
+            if self.stack[k][0] in tags:
+                return k
+            if self.stack[k][0] in stop:
+                return -1
+        return -1
+
+    def read(self, html: str) -> None:
+        at, n, unclosed = 0, len(html), set()
+        while at < n:
+            m = TAG.search(html, at)
+            if text := html[at : m.start() if m else n]:
+                text = unescape(text) if "&" in text else text
+                self.parts.append(text)
+                if self.links:
+                    self.linked += len("".join(text.split()))
+            if not m:
                 break
-        return found
-
-    n = len(html)
-    while at < n:
-        m = TAG.search(html, at)
-        text = html[at : m.start() if m else n]
-        if text and not skip:
-            out.add(unescape(text) if "&" in text else text, links > 0 and not title)
-        if not m:
-            break
-        at = m.end()
-        slash, tag, attributes = m.group(1), m.group(2), m.group(3)
-        if tag is None:
-            slash, tag, attributes = m.group(4), m.group(5), m.group(6)
-            if tag is None or not m.group(0).endswith(">"):
-                continue  # a comment or declaration, or cut off by the end
-        tag = tag.lower()
-        if tag not in INLINE:
-            out.end(inside, title > 0)
-        if slash:
-            if tag == "p" and opened(("p",)) < 0:
+            at = m.end()
+            slash, tag, attributes = m.group(1), m.group(2), m.group(3)
+            if tag is None:
+                slash, tag, attributes = m.group(4), m.group(5), m.group(6)
+                if tag is None or not m.group(0).endswith(">"):
+                    continue  # a comment or declaration, or cut off by the end
+            tag = tag.lower()
+            if tag == "a":
+                self.links = 0 if slash else len(self.stack) + 1
+            if tag in INLINE:
                 continue
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    leave(k)
-                    break
-                if stack[k][0] in CONTAINER and tag not in CONTAINER and tag not in BOILERPLATE and tag not in ("header", "ul", "ol", "dl", "tr", "tbody", "thead"):
-                    break
-            continue
-        if tag in RAW:
-            if not attributes.endswith("/"):
-                low = low or html.lower()
-                end = low.find(f"</{tag}", at)
-                end = n if end < 0 else low.find(">", end)
-                at = n if end < 0 else end + 1
-            continue
-        if tag in VOID:
-            continue
-        if tag not in INLINE:
-            k = opened(CLOSES.get(tag, ("p",)))
-            if k >= 0:
-                leave(k)
-        bad = skip or boilerplate(tag, attributes, inside != "")
-        around = inside
-        if not bad and tag in ("article", "main") and inside != "article":
-            around = tag
-        elif not bad and not inside and re.search(r"""\bitemprop\s*=\s*["']?articleBody|\brole\s*=\s*["']?main\b""", attributes):
-            around = "main"
-        if bad and not skip:
-            out.end(inside, title > 0)
-            out.gap()
-        if attributes.endswith("/") and tag in INLINE:
-            continue
-        stack.append((tag, bad, around))
-        skip, inside = bad, around
-        links += tag == "a"
-        title += tag == "h1" and around != ""
-    out.end(inside, title > 0)
-    return out
+            self.line(empty=tag != "br")
+            if slash:
+                if tag == "body" or tag == "html":
+                    continue
+                k = self.place((tag,), frozenset() if tag in CONTAINER or tag in LISTS or tag in MARKED_TAGS or tag == "header" else CONTAINER)
+                if k >= 0:
+                    self.leave(k)
+            elif tag in RAW:
+                if not attributes.endswith("/") and tag not in unclosed:
+                    end = RAW_END[tag].search(html, at)
+                    if end:
+                        at = end.start() if tag in CONTROLS and not end.group(1) else end.end()
+                    elif tag in CONTROLS:
+                        unclosed.add(tag)
+                    else:
+                        at = n
+            elif tag not in VOID:
+                self.start(tag, attributes)
+        self.line()
+
+    def start(self, tag: str, attributes: str) -> None:
+        if self.stack and self.stack[-1][0] == "p":
+            self.leave(len(self.stack) - 1)
+        if tag in CLOSES and (k := self.place(CLOSES[tag], (CONTAINER | LISTS) - set(CLOSES[tag]))) >= 0:
+            while k and self.stack[k - 1][0] in CLOSES[tag]:
+                k -= 1
+            self.leave(k)
+        column, inside = self.column, self.inside
+        if marked(tag, attributes, inside):
+            column = Column(MARKED)
+            self.columns.append(column)
+        elif tag in ("article", "main"):
+            column.gap(WINDOW)
+            inside = True
+        self.stack.append((tag, column, inside))
+        self.open[tag] += 1
 
 
 def runs(sizes: list[int]) -> Iterator[tuple[int, int]]:
-    """Surge and dive points: bounds of the lines between windows (GAP + 1 lines) whose sum is zero."""
-    sums = [sum(sizes[k : k + GAP + 1]) for k in range(len(sizes))]
-    start = None
+    """First and last line, with text, between a surge and its dive: sums over WINDOW lines that never are zero."""
+    total = [0, *accumulate(sizes)]
+    sums = [total[k + 1] - total[max(k + 1 - WINDOW, 0)] for k in range(len(sizes))]
+    start = last = None
     for k, size in enumerate(sizes):
-        if size and start is None:
-            start = k
-        if start is not None and (k + 1 == len(sizes) or not sums[k + 1]) and size:
-            yield start, k + 1
+        if size:
+            start, last = k if start is None else start, k
+        if start is not None and (not sums[k] or k + 1 == len(sizes)):
+            yield start, last
             start = None
 
 
 def extract(html: str | None) -> str:
     """The main text of a page."""
-    page = lines_of(html or "")
-    sizes = [len(x) if 2 * y <= len(x.replace(" ", "")) else 0 for x, y in zip(page.text, page.links, strict=True)]
-    holders = {x for x, size in zip(page.inside, sizes, strict=True) if size}
-    named = "article" if "article" in holders else "main" if "main" in holders else ""
-    kept: list[int] = []
-    least = 0
-    for within in (True, False):
-        own = [(x == named) == within for x in page.inside]
-        masked = [x if y else 0 for x, y in zip(sizes, own, strict=True)]
-        found = [(a, b, sum(masked[a:b])) for a, b in runs(masked)]
-        most = max((x[2] for x in found), default=0)
-        for a, b, size in found:
-            if within:
-                good = size >= SURGE or size == most or named and (size >= min(INSIDE, most / 4) or any(page.title[a:b]) or page.text[b - 1].endswith(STOPS))
-            else:
-                good = size >= max(SURGE, least)
-            if good:
-                kept += [k for k in range(a, b) if own[k] and page.text[k]]
-        least = most
-    return " ".join(page.text[k] for k in sorted(kept))
+    page = Page(html or "")
+    found = [(c, [(a, b, sum(c.sizes[a : b + 1])) for a, b in runs(c.sizes)]) for c in page.columns]
+    most = max((size for c, own in found if c.weight == 1 for _, _, size in own), default=0)
+    kept: list[tuple[int, str]] = []
+    for c, own in found:
+        least = min(SURGE, most / 4) if c.weight == 1 else max(SURGE, most)
+        strong = [k for k, (_, _, size) in enumerate(own) if size >= least * c.weight]
+        for a, b, _ in own[strong[0] : strong[-1] + 1] if strong else []:
+            kept += [c.texts[k] for k in range(a, b + 1) if k in c.texts]
+    return " ".join(text for _, text in sorted(kept))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
