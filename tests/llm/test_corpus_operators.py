@@ -288,6 +288,42 @@ def test_search_few_and_none(spark):
     assert ann.search(few.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [1.0, 1e39, 1e-150, 1e150])
+def test_search_in_double_precision(spark, size):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(90, 6)) * size
+    x[50:80] = x[7]  # more equal vectors than places, query rows among them
+    got = ann.search(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")).toPandas()
+    assert set(got.query_id) == {0, 20, 40, 60, 80}
+    for query, own in got.groupby("query_id"):
+        score = {k: float((x[k] * x[query]).sum()) for k in range(len(x)) if k != query}
+        want = sorted(score, key=lambda k: (-score[k], k))[:20]
+        own = own.sort_values("rank")
+        assert own.vec_id.tolist() == want and own.score.tolist() == [score[k] for k in want]
+
+
+def test_search_with_lists_and_bounds(spark):
+    """Enough vectors for several lists, of very unequal lengths and with a hot repeated one."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 12)) * np.exp(rng.normal(size=(3000, 1)))
+    x[1000:2000] = x[3]
+    got = ann.search(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")).toPandas()
+    hit = 0
+    for query, own in got.groupby("query_id"):
+        s = (x * x[query]).sum(axis=1)
+        s[query] = -np.inf
+        order = np.lexsort((np.arange(len(x)), -s))[:20]
+        assert len(own) == 20
+        hit += len(set(own.vec_id) & set(order.tolist()))
+    assert got.query_id.nunique() == 150 and hit / len(got) >= 0.9
+
+
+def test_search_one_huge_vector(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1e39, 0.0]), (2, [0.5, 0.25])]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(1, 1e39), (2, 1.0)]
+
+
 # ---- pipeline
 
 
