@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tramline.llm import bpe, chat, html_text, licenses, packing, warc
+from tramline.llm import bpe, chat, entry, html_text, licenses, packing, warc
 
 WEIRD = [
     None, "", "   ", "\n\n", "word", "two words", "a\tb\x0bc\x0cd\re", "aaaaaaaa aaa", "x<|endoftext|>y <|startoftext|> z", "É é x́ İstanbul ΣΑΣ ß ﬁ", "it's don't we'LL 's", "12345 ١٢٣ ²³",
@@ -56,9 +56,18 @@ def test_chat_merges_adjacent_turns(spark):
 
 
 def test_chat_plan_is_native(spark):
-    df = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
-    plan = chat.digests(chat.format_chats(df))._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Arrow|Pandas", plan)
+    plan = entry.op3_chat_format(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas|ExistingRDD|UDF", plan)
+
+
+def test_long_chats_with_clashing_columns(spark):
+    long = "é<|im_sep|>\\" * 200_000
+    rows = [(1, 0, "user", long, "x", 1), (1, 1, "assistant", long, "y", 2), (1, 1, "assistant", long, "y", 2), (2, 0, "assistant", "b" * 1_000_000, None, 3)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string, turns int")
+    got = {r.conv_id: r for r in chat.digests(chat.format_chats(df)).collect()}
+    assert got[1].n_turns == 3 and got[1].loss_chars == 2 * len(long) and got[1].loss_sha256 == hashlib.sha256((2 * long).encode()).hexdigest()
+    assert got[1].turns_sha256 == hashlib.sha256(f"user\n{long}\nassistant\n{long}\nassistant\n{long}\n".encode()).hexdigest()
+    assert got[2].loss_chars == 1_000_000 and len(got) == 2
 
 
 # ---- tokens
@@ -266,6 +275,8 @@ def test_archives_round_trip(spark):
     want = Counter((i, len((h or "").encode()), sha(h), "revisit" if h in last and i != 7 else "response", last[h] if h in last and i != 7 else None) for i, _, h in rows)
     assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == want
     assert {r.payload.decode() for r in got if r.page_id == 6} == {huge}
+    names = [r.record_id for r in index.collect()]
+    assert len(set(names)) == len(names) == len(rows)
     assert warc.archive_and_read(pages.limit(0)).count() == 0
 
 

@@ -6,7 +6,8 @@ and raw size of every frame). The index maps each record identifier to bundle, f
 frame, so that one record costs one ranged read and one decompressed frame.
 
 Of records with equal payloads of at least MIN_REVISIT bytes, that with the largest page_id is the response and the
-others are revisits, which keep the HTTP header with the full length, the digest, and the response's identifier.
+others are revisits, which keep the HTTP header with the full length, the digest, and the response's page_id and target.
+A record's identifier is made from its place in its bundle, so that repeated pages have one each.
 
 Defined results: null html is an empty payload; a null url is an empty target; rows with a null page_id are
 archived without an identifier header and never chosen as a response that others revisit, unless no row of the
@@ -42,35 +43,34 @@ RECORD = "page_id long, url string, record_type string, refers_to long, payload_
 
 
 def assign_types(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
-    """page_id, url, payload, digest (hex SHA-1) and refers_to (null for responses). A payload crosses one shuffle;
+    """page_id, url, payload, digest (hex SHA-1), refers_to and that page's refers_url (null for responses). A payload crosses one shuffle;
     the side it meets is one small row per repeated payload, and a hot payload's rows can be split there."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), payload.alias("payload"))
     pages = pages.withColumn("digest", F.sha1("payload"))
-    again = pages.filter(F.octet_length("payload") >= min_revisit).groupBy("digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n"))
+    again = pages.filter(F.octet_length("payload") >= min_revisit).groupBy("digest").agg(F.max(F.struct("page_id", "url")).alias("last"), F.count(F.lit(1)).alias("n"))
     again = again.filter("n > 1").select("digest", "last").hint("shuffle_hash")
-    return pages.join(again, "digest", "left").select("page_id", "url", "payload", "digest", F.expr("CASE WHEN page_id = last THEN NULL ELSE last END").alias("refers_to"))
+    return pages.join(again, "digest", "left").select("page_id", "url", "payload", "digest", *[F.expr(f"CASE WHEN page_id = last.page_id THEN NULL ELSE last.{x} END").alias(y) for x, y in (("page_id", "refers_to"), ("url", "refers_url"))])
 
 
-def record_name(page_id: int) -> str:
-    return f"<urn:uuid:{uuid.uuid5(SPACE, str(page_id))}>"
+def one_line(url: str) -> str:
+    return url.replace("\r", "%0D").replace("\n", "%0A")
 
 
-def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None, date: str) -> tuple[str, bytes]:
-    """Identifier and bytes of one WARC/1.1 record."""
-    name = record_name(page_id) if page_id is not None else f"<urn:uuid:{uuid.uuid4()}>"
+def record(name: str, page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None, refers_url: str | None, date: str) -> bytes:
+    """One WARC/1.1 record under an identifier."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http + payload if refers_to is None else http
     head = [
         "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {name}", f"WARC-Date: {date}",
-        "WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A"), f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(digest)).decode()}",
+        "WARC-Target-URI: " + one_line(url), f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(digest)).decode()}",
         "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
     ]
     if page_id is not None:
         head.append(f"X-Page-ID: {page_id}")
     if refers_to is not None:
-        head += [f"WARC-Refers-To: {record_name(refers_to)}", f"X-Refers-To-Page-ID: {refers_to}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
-    return name, "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+        head += [f"WARC-Refers-To-Target-URI: {one_line(refers_url)}", f"WARC-Refers-To-Date: {date}", f"X-Refers-To-Page-ID: {refers_to}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 class Bundle:
@@ -124,9 +124,10 @@ def write_archives(typed: DataFrame, base: str, date: str = "2020-01-01T00:00:00
             return done
 
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                name, data = record(*row, date)
+            for row in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
                 bundle = bundle or Bundle(base)
+                name = f"<urn:uuid:{uuid.uuid5(SPACE, f'{bundle.name}/{len(rows)}')}>"
+                data = record(name, *row, date)
                 frame, start = bundle.add(data)
                 rows.append((name, row[0], frame, start, len(data)))
                 if bundle.total >= BUNDLE:
@@ -134,7 +135,7 @@ def write_archives(typed: DataFrame, base: str, date: str = "2020-01-01T00:00:00
         if bundle:
             yield shut()
 
-    return typed.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(write, INDEX)
+    return typed.select("page_id", "url", "payload", "digest", "refers_to", "refers_url").mapInArrow(write, INDEX)
 
 
 def seek_table(source: pa.NativeFile) -> list[tuple[int, int]]:
