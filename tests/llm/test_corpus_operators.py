@@ -135,15 +135,15 @@ def test_gradients():
     at[1, 4:] = -1
     label = np.array([1, 0, 1], np.float32)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
-    _, g = net.step(names, at, mask, label)
+    _, g = net.step(net.features(names), at, mask, label)
     for name in ("word", "char", "Wf", "Ub", "bf", "A", "v", "o"):
         flat, grad = net.p[name].reshape(-1), g[name].reshape(-1)
         for k in np.argsort(-np.abs(grad))[:3]:
             keep, e = flat[k], 1e-4
             flat[k] = keep + e
-            up = net.step(names, at, mask, label)[0]
+            up = net.step(net.features(names), at, mask, label)[0]
             flat[k] = keep - e
-            down = net.step(names, at, mask, label)[0]
+            down = net.step(net.features(names), at, mask, label)[0]
             flat[k] = keep
             assert abs((up - down) / (2 * e) - grad[k]) < 1e-3 * max(1, abs(grad[k])) + 2e-4
 
@@ -158,7 +158,7 @@ def test_toxicity_on_held_out_labels(spark):
     assert (own.predicted == own.toxic).mean() >= 0.85
 
 
-def test_toxicity_samples_among_documents_that_fit(spark, monkeypatch):
+def test_toxicity_samples_among_documents_that_are_there(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "SAMPLE", (8, 8))
     labels = spark.createDataFrame([(k, 0, k % 2) for k in range(2000)], "doc_id long, quality int, toxic int")
     here = [(k, ("you are bad" if k % 2 else "all is fine here") + (" long" * 4000 if k < 1500 else "")) for k in range(1000, 1600)]
@@ -169,6 +169,66 @@ def test_toxicity_samples_among_documents_that_fit(spark, monkeypatch):
     assert net is not None and sum(y for _, y in seen) == 8 and len(seen) == 16
 
 
+def test_toxicity_trains_on_long_documents(spark):
+    """Nothing but documents of 40 kB, of which the toxic ones are so in places all over them."""
+    rng = random.Random(5)
+    calm = [f"w{k}" for k in range(300)]
+
+    def text(toxic):
+        return " ".join("you vile rotten scum" if toxic and rng.random() < 0.03 else rng.choice(calm) for _ in range(8000))
+
+    rows = [(k, text(k % 2), k % 2) for k in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 0, y) for k, _, y in rows], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.scored(docs, toxicity.train(docs, labels)).collect()}
+    assert sum(got[k] == y for k, _, y in rows) >= 58
+
+
+def test_excerpts():
+    text = " ".join(f"w{k}" for k in range(80 * toxicity.PASSAGE)).encode()
+    words = toxicity.words_of(toxicity.excerpt(text))
+    assert len(words) == toxicity.PASSAGES * toxicity.PASSAGE == len(set(words)) and words == sorted(words, key=lambda w: int(w[1:]))
+    assert toxicity.excerpt(b"A  short\ttext") == b"A  short\ttext"
+
+
+def plain_score(net, text):
+    """The score of a text by a loop over windows, words and gates, without tables, batches or masks."""
+    sigmoid, words = (lambda x: 1 / (1 + np.exp(-x))), toxicity.words_of(text)
+    h, p = toxicity.HIDDEN, {k: v.astype(np.float64) for k, v in net.p.items()}
+    starts = range(0, max(1, len(words) - (toxicity.WINDOW - toxicity.STRIDE)), toxicity.STRIDE) if words else []
+    best = -np.inf
+    for a in starts:
+        xs = []
+        for w in words[a : a + toxicity.WINDOW]:
+            chars = b"\x02" + w + b"\x03"
+            codes = [((chars[k] << 16 | chars[k + 1] << 8 | chars[k + 2]) * 0x9E3779B1 % 2**32) >> 20 for k in range(len(chars) - 2)]
+            xs.append(np.concatenate([p["word"][net.vocabulary.get(w.strip(toxicity.MARKS) or w, 0)], np.mean([p["char"][c] for c in codes], axis=0)]))
+        sides = []
+        for s, order in (("f", xs), ("b", xs[::-1])):
+            state, out = np.zeros(h), []
+            for x in order:
+                i, u = x @ p[f"W{s}"] + p[f"b{s}"], state @ p[f"U{s}"]
+                r, z = sigmoid(i[:h] + u[:h]), sigmoid(i[h : 2 * h] + u[h : 2 * h])
+                state = (1 - z) * np.tanh(i[2 * h :] + r * u[2 * h :]) + z * state
+                out.append(state)
+            sides.append(out if s == "f" else out[::-1])
+        states = [np.concatenate(x) for x in zip(*sides, strict=True)]
+        weight = np.exp([np.tanh(x @ p["A"] + p["a"]) @ p["v"] for x in states])
+        best = max(best, float((weight / weight.sum()) @ states @ p["o"] + p["c"][0]))
+    a, b = net.scale
+    return sigmoid(np.clip(a * best + b, -30, 30)) if starts else 0.0
+
+
+def test_scores_equal_a_plain_loop():
+    rng = random.Random(4)
+    words = ["bad", "fine", "(word)", "naïve", "漢字", "x", "é" * 70, "Zebra's"]
+    texts = [" ".join(rng.choice(words) for _ in range(n)).encode() for n in (0, 1, 2, 15, 16, 17, 31, 32, 33, 48, 49, 200)]
+    net = toxicity.fit([b"you are bad"] * 6 + [b"all is fine here word"] * 6 + texts[4:], [1] * 6 + [0] * 6 + [k % 2 for k in range(len(texts) - 4)])
+    scorer = toxicity.Scorer(net)
+    for _ in range(2):  # with and without known words
+        assert np.allclose(scorer.scores(texts), [plain_score(net, x) for x in texts], atol=2e-5)
+
+
 def test_toxicity_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (None, "some text", "a"), (2, "", "a"), (3, "w " * 50_000, "a")], "doc_id long, text string, score string")
     labels = spark.createDataFrame([(1, 1, None), (2, 1, 0), (2, 1, 1)], "doc_id long, quality int, toxic int")

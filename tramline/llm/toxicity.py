@@ -7,8 +7,8 @@ texts without spaces have windows too); each is read in both directions, pooled
 largest logit of a text, scaled on training documents that took no part in the fit, is its score.
 
 Training: labels come only from rows whose crc32(doc_id as text) mod 5 is not 0, and of these from a bounded sample:
-the SAMPLE (toxic, other) rows first by hash of doc_id, among documents of at most LONGEST bytes. A document's label
-holds for some window only, so each epoch trains on the windows with the largest logits, and on random others of
+the SAMPLE (toxic, other) rows first by hash of doc_id, whatever their length; of a document of more than PASSAGES *
+PASSAGE words, as many passages from all over it train, first by hash. A document's label holds for some window only, so each epoch trains on the windows with the largest logits, and on random others of
 documents that aren't toxic. Labels are noisy: after TRIM epochs, documents that the model firmly contradicts rest.
 labels, lang, source and doc_id are no inputs of a score.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,10 @@ from tramline.llm import common
 
 WINDOW, STRIDE, HIDDEN = 32, 16, 8
 WORD_DIM, CHAR_DIM, TRIGRAMS, MIN_DOCS = 12, 12, 4096, 4
-SAMPLE, LONGEST = (1500, 3000), 8_000
-EPOCHS, WIDE, TRIM, BATCH, RATE, SEED = 14, 3, 6, 128, 0.01, 7
+SAMPLE = (1500, 3000)
+#: Of a longer training document, so many passages of so many words, first by hash.
+PASSAGES, PASSAGE = 12, 128
+EPOCHS, WIDE, TRIM, BATCH, RATE, SEED = 8, 3, 6, 128, 0.01, 7
 KNOWN, BLOCK = 300_000, 4096
 #: A longer word (in bytes) has no spaces to go by, and is read in pieces of that many characters.
 LONG, PIECE = 96, 8
@@ -60,6 +63,16 @@ def words_of(text: bytes) -> list[bytes]:
     return [piece for w in words for piece in ([w] if len(w) <= LONG else pieces(w.decode("utf-8", "surrogateescape")))]
 
 
+def excerpt(text: bytes) -> bytes:
+    """What trains of a text: all its words, or PASSAGES passages of them in their order."""
+    words = words_of(text)
+    if len(words) <= PASSAGES * PASSAGE:
+        return text
+    passages = [b" ".join(words[k : k + PASSAGE]) for k in range(0, len(words), PASSAGE)]
+    first = sorted(range(len(passages)), key=lambda k: (zlib.crc32(passages[k]), k))[:PASSAGES]
+    return b" ".join(passages[k] for k in sorted(first))
+
+
 def pieces(word: str) -> list[bytes]:
     """PIECE characters from every PIECE // 2nd on; the last ends with the word."""
     return [word[k : k + PIECE].encode("utf-8", "surrogateescape") for k in range(0, max(1, len(word) - PIECE // 2), PIECE // 2)]
@@ -95,6 +108,30 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+def summed(rows: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """n rows, each the sum of those rows that name it."""
+    out = np.zeros((n, rows.shape[1]), np.float32)
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    out[at[first]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
+class Features(NamedTuple):
+    """What the inputs of words are made from: rows of word, buckets of char, where each word's begin and how many."""
+
+    rows: np.ndarray
+    buckets: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
+
+    def some(self, k: np.ndarray) -> Features:
+        sizes = self.sizes[k]
+        starts = np.cumsum(sizes) - sizes
+        return Features(self.rows[k], self.buckets[np.arange(sizes.sum()) + np.repeat(self.starts[k] - starts, sizes)], starts, sizes)
+
+
 class Net:
     """Parameters, forward and backward pass. A gate block is ordered reset, update, new."""
 
@@ -112,14 +149,16 @@ class Net:
             self.p |= {f"W{s}": draw(d, 3 * h), f"U{s}": draw(h, 3 * h), f"b{s}": np.zeros(3 * h, np.float32)}
         self.scale = np.array([1.0, 0.0])
 
-    def inputs(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The input vector of each word, and what it came from: rows of word, buckets of char and their starts."""
+    def features(self, words: list[bytes]) -> Features:
         get = self.vocabulary.get
         rows = np.fromiter((get(w.strip(MARKS) or w, 0) for w in words), np.int64, len(words))
         buckets, starts = trigrams(words)
-        many = np.diff(np.append(starts, len(buckets)))[:, None].astype(np.float32)
-        chars = np.add.reduceat(self.p["char"][buckets], starts, axis=0) / many
-        return np.concatenate([self.p["word"][rows], chars], axis=1), rows, buckets, starts
+        return Features(rows, buckets, starts, np.diff(np.append(starts, len(buckets))))
+
+    def inputs(self, of: Features) -> np.ndarray:
+        """The input vector of each word."""
+        chars = np.add.reduceat(self.p["char"][of.buckets], of.starts, axis=0) / of.sizes[:, None].astype(np.float32)
+        return np.concatenate([self.p["word"][of.rows], chars], axis=1)
 
     def read(self, projected: np.ndarray, at: np.ndarray, side: str, keep: list | None = None) -> np.ndarray:
         """States (T, B, HIDDEN) of one direction over words at (B, T) of the projected inputs."""
@@ -149,11 +188,11 @@ class Net:
         context = np.einsum("tb,tbh->bh", weight, states)
         return context @ self.p["o"] + self.p["c"][0], context, weight, tanh
 
-    def step(self, words: list[bytes], at: np.ndarray, mask: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    def step(self, of: Features, at: np.ndarray, mask: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss and gradients of windows at (B, T) of the words, -1 for none; the last row of inputs stands for it."""
         h, p = HIDDEN, self.p
-        x, rows, buckets, starts = self.inputs(words)
-        at = np.where(at < 0, len(words), at)
+        x, words = self.inputs(of), len(of.rows)
+        at = np.where(at < 0, words, at)
         kept: dict[str, list] = {"f": [], "b": []}
         states = []
         for s in "fb":
@@ -177,22 +216,22 @@ class Net:
         dx = np.zeros_like(x)
         for k, s in enumerate("fb"):
             u, dh = p[f"U{s}"], np.zeros((len(at), h), np.float32)
-            dp = np.zeros((len(words) + 1, 3 * h), np.float32)
+            gates = np.empty((at.shape[1], len(at), 3 * h), np.float32)
             for t, before, reset, update, new, hn in reversed(kept[s]):
                 dh = dh + dstates[t, :, k * h : (k + 1) * h]
                 dn = dh * (1 - update) * (1 - new * new)
                 dz = dh * (before - new) * update * (1 - update)
                 dr = dn * hn * reset * (1 - reset)
                 dhu = np.concatenate([dr, dz, dn * reset], axis=1)
-                np.add.at(dp, at[:, t], np.concatenate([dr, dz, dn], axis=1))
+                gates[t, :, :h], gates[t, :, h : 2 * h], gates[t, :, 2 * h :] = dr, dz, dn
                 g[f"U{s}"] += before.T @ dhu
                 dh = dh * update + dhu @ u.T
-            g[f"W{s}"], g[f"b{s}"] = x.T @ dp[:-1], dp[:-1].sum(axis=0)
-            dx += dp[:-1] @ p[f"W{s}"].T
-        np.add.at(g["word"], rows, dx[:, :WORD_DIM])
+            dp = summed(gates.reshape(-1, 3 * h), at.T.ravel(), words + 1)[:words]
+            g[f"W{s}"], g[f"b{s}"] = x.T @ dp, dp.sum(axis=0)
+            dx += dp @ p[f"W{s}"].T
+        g["word"] = summed(dx[:, :WORD_DIM], of.rows, len(p["word"]))
         g["word"][0] = 0
-        sizes = np.diff(np.append(starts, len(buckets)))
-        np.add.at(g["char"], buckets, np.repeat(dx[:, WORD_DIM:] / sizes[:, None].astype(np.float32), sizes, axis=0))
+        g["char"] = summed(np.repeat(dx[:, WORD_DIM:] / of.sizes[:, None].astype(np.float32), of.sizes, axis=0), of.buckets, TRIGRAMS)
         return loss, g
 
 
@@ -231,7 +270,7 @@ class Scorer:
     def learn(self, words: list[bytes]) -> None:
         for k in range(0, len(words), 50_000):
             some = words[k : k + 50_000]
-            x = self.net.inputs(some)[0]
+            x = self.net.inputs(self.net.features(some))
             need = self.size + len(some)
             for s in "fb":
                 if need > len(self.tables[s]):
@@ -286,16 +325,19 @@ def fit(texts: list[bytes], toxic: list[int], share: float | None = None) -> Net
     start, end, of = windows(np.fromiter(map(len, cut), np.int64, len(cut)))
     del cut, ids, seen
 
+    given = net.features(names)
+
     def now() -> np.ndarray:
         """Logit of every window, as the net stands."""
-        scorer = Scorer(net)
-        scorer.learn(names)
-        return window_logits(net, scorer.tables, flat + 1, start, end)
+        pad = np.array([[0] * HIDDEN + [30] * HIDDEN + [0] * HIDDEN], np.float32)
+        x = net.inputs(given)
+        return window_logits(net, {s: np.vstack([pad, net.project(x, s)]) for s in "fb"}, flat + 1, start, end)
 
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     count = 0
     for epoch in range(EPOCHS):
-        logit = now()
+        if epoch < WIDE or epoch % 2 == 0:
+            logit = now()
         order = np.lexsort((-logit, of))
         rank = np.empty(len(of), np.int64)
         firsts = np.concatenate([[True], of[order][1:] != of[order][:-1]])
@@ -315,7 +357,7 @@ def fit(texts: list[bytes], toxic: list[int], share: float | None = None) -> Net
             distinct, inverse = np.unique(word[mask], return_inverse=True)
             at = np.full(word.shape, -1)
             at[mask] = inverse
-            _, g = net.step([names[j] for j in distinct], at, mask.T, label[of[own]].astype(np.float32))
+            _, g = net.step(given.some(distinct), at, mask.T, label[of[own]].astype(np.float32))
             count += 1
             rate = RATE * (1 - epoch / EPOCHS) * np.sqrt(1 - 0.999**count) / (1 - 0.9**count)
             for name, d in g.items():
@@ -351,12 +393,18 @@ def train(docs: DataFrame, labels: DataFrame) -> Net | None:
     own = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
     own = own.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.utf8("text")).filter(F.octet_length("text").between(1, LONGEST))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.utf8("text")).filter(F.octet_length("text") > 0)
     fitting = common.cut(own.join(docs.select("doc_id"), "doc_id", "left_semi"))
     chosen = [fitting.filter(F.col("toxic") == k).orderBy(*order).limit(n) for k, n in ((1, SAMPLE[0]), (0, SAMPLE[1]))]
     chosen = common.cut(chosen[0].unionByName(chosen[1]))  # at most sum(SAMPLE) ids
     share = own.agg(F.avg("toxic")).first()[0]
-    rows = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).toArrow()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in common.slices(batch):
+                yield some.set_column(1, "text", pa.array([excerpt(x) for x in some.column(1).to_pylist()], pa.binary()))
+
+    rows = docs.join(F.broadcast(chosen), "doc_id").mapInArrow(run, "doc_id long, text binary, toxic int").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).toArrow()
     order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
     texts, toxic = rows.column("text").to_pylist(), rows.column("toxic").to_pylist()
     return fit([texts[k] for k in order], [toxic[k] for k in order], share)
