@@ -120,7 +120,7 @@ def test_packing_plan_places_everything():
     for _ in range(150):
         capacity = rng.choice([5, 16, 64, 200])
         histogram = {rng.randint(1, capacity): rng.randint(1, 9) for _ in range(rng.randint(1, 30))}
-        rows, seen = packing.plan(histogram, capacity, capacity // 4, rng.choice([1, 5, 50])), Counter()
+        rows, seen = packing.plan(histogram, capacity, rng.choice([(0.25,), (0.5,), packing.SMALL]), rng.choice([1, 5, 50])), Counter()
         placed = []
         for length, lo, hi, per, seq, offset in rows:
             assert lo == seen[length]
@@ -131,6 +131,60 @@ def test_packing_plan_places_everything():
     assert packing.plan({}) == []
 
 
+def fewest(lengths, capacity):
+    """The least number of sequences, by search over all ways to place each piece, longest first."""
+    lengths = sorted(lengths, reverse=True)
+    best = len(lengths)
+
+    def place(k, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if k == len(lengths):
+            best = len(rooms)
+            return
+        for room in sorted({r for r in rooms if r >= lengths[k]}):
+            rest = list(rooms)
+            rest.remove(room)
+            place(k + 1, [*rest, room - lengths[k]])
+        place(k + 1, [*rooms, capacity - lengths[k]])
+
+    place(0, [])
+    return best
+
+
+def test_packing_against_the_optimum():
+    rng, more, none = random.Random(6), 0, 0
+    for _ in range(300):
+        capacity = rng.choice([10, 20, 60])
+        lengths = [rng.randint(1, capacity) for _ in range(rng.randint(1, 9))]
+        used, least = packing.sequences(packing.plan(Counter(lengths), capacity)), fewest(lengths, capacity)
+        assert least <= used <= least + 1
+        more += used - least
+        none += used == least
+    assert more <= 15 and none >= 285
+    # thirds and quarters that only configurations put together
+    assert packing.sequences(packing.plan({51: 6, 27: 6, 26: 6, 23: 12}, 101)) <= 10
+
+
+def test_few_groups_round_up():
+    histogram = {k: 3 for k in range(600, 1600)}
+    groups = packing.groups_of(histogram, packing.GROUPS)
+    sizes = [sum(n for _, n in g) for g in groups]
+    assert len(groups) <= packing.GROUPS and len(set(sizes[:-1])) == 1 and all(g[0][0] > g[-1][0] for g in groups)
+
+
+def test_tokens_beside_long_white_space():
+    from tokenizers import Tokenizer
+
+    tool, tokens = Tokenizer.from_file(packing.vocabulary_path()), packing.shared(packing.vocabulary_path())
+    for n in (255, 256, 257, 4998, 4999, 5000, 5001):
+        for blank in (" ", "\n", " \n\t\u3000"):
+            run = (blank * n)[:n]
+            for text in (run, f"a{run}b", f"a{run}", f"{run}b", f"x{run}y {run}\u00e9{run}"):
+                assert tokens.encode(text.encode()) == np.array(tool.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_packing_is_near_the_bound():
     rng = random.Random(2)
     histogram = Counter(rng.randint(1, 2048) for _ in range(20_000))

@@ -5,13 +5,15 @@ only its first piece can be shorter; every other document is one piece.
 
 Pieces of one length are alike, so the plan is made from the histogram of lengths alone (at most CAPACITY rows, all
 that the driver sees) and has a bounded number of rows at any input size:
-1. Pieces longer than SMALL go, by falling length, into GROUPS groups of equal cardinality; each counts as long as the
-   longest of its group.
+1. Pieces longer than a threshold go, by falling length, into GROUPS groups of equal cardinality; each counts as long
+   as the longest of its group.
 2. Configurations (which group sizes share a sequence) are optimised over those few sizes: the largest size left is
    joined by the subset that fills the sequence best, found by a bit-set knapsack over the counts that are left, and
    the configuration is used as often as the counts allow.
 3. The slots get the actual pieces of their group, by falling length, which frees the room that rounding took.
 4. Small pieces go, by falling length, where they leave the least room; new sequences open only when none has room.
+Where small ends is tried at each of SMALL, shares of the capacity, and the plan with fewest sequences is taken, the first
+of equals.
 
 A plan row says: of the pieces of this length, those ranked lo to hi go to sequences from seq on, per to a sequence,
 from this offset on. Ranks need no global sort: a task numbers its pieces of each length as it cuts them, and the
@@ -37,18 +39,18 @@ from pyspark.sql import functions as F
 from tramline.llm import common
 from tramline.llm.bpe import byte_characters
 
-CAPACITY, SMALL, GROUPS = 2048, 512, 1024
+CAPACITY, GROUPS = 2048, 32
+SMALL = (0.25, 0.3125, 0.375, 0.4375, 0.5)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 #: The byte-level tokenizer's own split, a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-LONG_BLANK = re.compile(r"\s{5000}").search
-
+LONG_BLANK = re.compile(r"\s{256}").search
 
 
 class Tokens:
     """Ids as the tokenizers library gives them. The ranks of the same file's byte-level tokens go to tiktoken, which
-    merges the same pairs many times as fast; texts with a special token's string, and texts whose runs of white space
-    are beyond tiktoken's pattern engine, go to the tokenizers library itself."""
+    merges the same pairs many times as fast; texts with a special token's string, and texts with a long run of white
+    space, on which tiktoken's pattern engine takes quadratic time and at last gives up, go to the tokenizers library itself."""
 
     def __init__(self, path: str):
         import tiktoken
@@ -179,8 +181,17 @@ def configurations(sizes: list[int], counts: list[int], capacity: int) -> list[t
     return out
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, small: int = SMALL, most: int = GROUPS) -> list[tuple[int, int, int, int, int, int]]:
+def sequences(rows: list[tuple[int, int, int, int, int, int]]) -> int:
+    return max((seq + -(-(hi - lo) // per) for _, lo, hi, per, seq, _ in rows), default=0)
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, small: tuple[float, ...] = SMALL, most: int = GROUPS) -> list[tuple[int, int, int, int, int, int]]:
     """Rows (length, lo, hi, per, seq, offset) that place every piece of the histogram."""
+    return min((plan_at(histogram, capacity, int(share * capacity), most) for share in small), key=sequences)
+
+
+def plan_at(histogram: dict[int, int], capacity: int, small: int, most: int) -> list[tuple[int, int, int, int, int, int]]:
+    """The plan where pieces of at most small are small."""
     rows: list[tuple[int, int, int, int, int, int]] = []
     ranks = dict.fromkeys(histogram, 0)
     opened = 0
@@ -243,7 +254,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, small: int = SMALL
     return rows
 
 
-def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, small: int = SMALL, most: int = GROUPS) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, small: tuple[float, ...] = SMALL, most: int = GROUPS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of docs (doc_id, text)."""
     spark = docs.sparkSession
     cut = common.cut(pieces(docs, path, capacity))
