@@ -61,6 +61,25 @@ def test_fingerprints_and_groups(spark):
     assert {d: r.component_id for d, r in got.items()} == want
 
 
+@pytest.mark.parametrize(("split", "held"), [(8, 100), (60, 10**6)])
+def test_large_subtrees_are_cut_again(spark, monkeypatch, split, held):
+    """Fingerprints that agree in their first 50 bits, where one cut of 12 bits below the top block tells none apart."""
+    monkeypatch.setattr(simhash, "HELD", held)
+    rng = random.Random(8)
+    fps = sorted({0x5A5A5A5A5A5A5000 & ~0x3FFF | rng.randrange(1 << 14) for _ in range(400)} | {rng.getrandbits(64) for _ in range(50)})
+    rows = spark.createDataFrame([(k, f - (1 << 64) if f >> 63 else f) for k, f in enumerate(fps)], "first long, fp long")
+    groups = simhash.subtrees(rows, split).groupBy("trie", "top", "lo", "hi").count()
+    assert groups.agg({"count": "max"}).first()[0] <= split
+    label = list(range(len(fps)))
+    for a in range(len(fps)):
+        for b in range(a):
+            if (fps[a] ^ fps[b]).bit_count() <= 2 and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = [low if x == high else x for x in label]
+    got = simhash.assign(rows.withColumnRenamed("first", "doc_id"), split).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(label))
+
+
 @pytest.mark.parametrize("split", [20_000, 40, 4])
 def test_trie_join_on_clusters_and_chains(spark, split):
     rng = random.Random(split)

@@ -9,9 +9,9 @@ each distinct fingerprint goes into three tries, each with another block on top,
 subtrees below its top block; a subtree meets in one task. There the traversal starts from the pair (subtree,
 subtree), descends a bit a round for all node pairs of the task at once, adds the differing bit of mixed child pairs,
 and drops pairs over the budget. A trie is never built: a node is a range of the sorted fingerprints. A subtree of
-more than SPLIT fingerprints is cut further, into the node pairs q bits below that are still within the budget, each
-a group of its own, so that a task's group stays small as far as those bits tell the fingerprints apart, and no pair
-is lost.
+more than SPLIT fingerprints is cut further, into the node pairs some bits below that are still within the budget, each
+a group of its own, and these again while one is larger than that and bits are left, so that a task's group stays
+small and no pair is lost. A task reads its rows sorted by group and holds HELD of them at a time.
 
 A task does not emit pairs but, for each of its components, one row a member that names the smallest member: at most
 as many rows as it read. Components of those stars are found by minimum labels with shortcuts, in DataFrame joins; all
@@ -39,8 +39,8 @@ SEED, BUDGET, SHINGLE = 42, 2, 3
 BLOCKS = (22, 21, 21)
 #: Most distinct fingerprints of one subtree that meet in one group, and most bits that a larger one is cut by at once.
 SPLIT, MOST_BITS = 20_000, 12
-#: Node pairs held at once in a traversal.
-FRONTIER = 1 << 21
+#: Node pairs held at once in a traversal, and rows of groups.
+FRONTIER, HELD = 1 << 21, 200_000
 #: How far each trie turns the bits to the left, and the rows of a star that share a salt.
 TURNS, PART = (0, BLOCKS[0], BLOCKS[0] + BLOCKS[1]), 2_000
 
@@ -69,9 +69,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, fp (the fingerprint as a signed long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = np.fromiter((fingerprint(x) for x in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+        for some in (x for batch in batches for x in common.slices(batch)):
+            fps = np.fromiter((fingerprint(x) for x in some.column(1).to_pylist()), np.uint64, some.num_rows)
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.utf8("text")).mapInArrow(run, "doc_id long, fp long")
 
@@ -83,24 +83,30 @@ def rotated(fp: Column, by: int) -> Column:
     return fp if not by else F.shiftleft(fp, by).bitwiseOR(F.shiftrightunsigned(fp, 64 - by))
 
 
-def subtrees(distinct: DataFrame, split: int = SPLIT) -> DataFrame:
-    """trie, top, lo, hi, q, r, first: each fingerprint (rotated: r) in each group that it takes part in."""
+def subtrees(distinct: DataFrame, split: int = SPLIT, most_bits: int = MOST_BITS) -> DataFrame:
+    """trie, top, lo, hi, q, r, first: each fingerprint (rotated: r) in each group that it takes part in. A group holds
+    what lies below the nodes lo and hi, q bits below the top block; it is cut while it has more than split rows."""
     tries = F.array(*[F.struct(F.lit(k).alias("trie"), rotated(F.col("fp"), turn).alias("r"), F.shiftrightunsigned(rotated(F.col("fp"), turn), 64 - BLOCKS[k]).alias("top")) for k, turn in enumerate(TURNS)])
-    rows = distinct.select("first", F.inline(tries))
-    hot = rows.groupBy("trie", "top").count().filter(F.col("count") > split)
-    hot = common.cut(hot.select("trie", "top", F.least(F.lit(MOST_BITS), F.ceil(F.log2(F.col("count") / split)) + 2).cast("int").alias("q")))
-    zero = F.lit(0)
-    if hot.isEmpty():
-        return rows.select("trie", "top", zero.alias("lo"), zero.alias("hi"), zero.alias("q"), "r", "first")
-    rows = rows.join(hot, ["trie", "top"], "left").withColumn("q", F.coalesce("q", zero))
-    # masks of at most BUDGET bits, by width
-    masks = [[m for m in range(1 << q) if m.bit_count() <= BUDGET] for q in range(MOST_BITS + 1)]
-    masks = F.array(*[F.array(*map(F.lit, x)) for x in masks])
+    zero = F.lit(0).cast("long")
+    keys, columns = ["trie", "top", "lo", "hi"], ["trie", "top", "lo", "hi", "q", "r", "first"]
+    rows = distinct.select("first", F.inline(tries)).select("trie", "top", zero.alias("lo"), zero.alias("hi"), F.lit(0).alias("q"), "r", "first")
+    # masks of at most so many bits, by that number and by width
+    masks = F.array(*[F.array(*[F.array(*[F.lit(m).cast("long") for m in range(1 << q) if m.bit_count() <= left]) for q in range(most_bits + 1)]) for left in range(BUDGET + 1)])
     width = F.when(F.col("trie") == 0, BLOCKS[0]).otherwise(BLOCKS[1])
-    below = F.expr("shiftrightunsigned(shiftleft(r, width), 64 - q)")
-    rows = rows.withColumn("width", width).withColumn("node", F.when(F.col("q") == 0, zero).otherwise(below.cast("int")))
-    rows = rows.withColumn("mask", F.explode(F.element_at(masks, F.col("q") + 1))).withColumn("other", F.col("node").bitwiseXOR(F.col("mask")))
-    return rows.select("trie", "top", F.least("node", "other").alias("lo"), F.greatest("node", "other").alias("hi"), "q", "r", "first")
+    more = F.least(F.lit(most_bits), F.ceil(F.log2(F.col("count") / split)) + 2, 64 - F.col("width") - F.col("q")).cast("int")
+    done = None
+    while True:
+        hot = rows.groupBy(*keys, "q").count().filter(F.col("count") > split).withColumn("width", width).filter("width + q < 64")
+        hot = common.cut(hot.select(*keys, "width", more.alias("more")))
+        if hot.isEmpty():
+            return rows if done is None else done.unionByName(rows)
+        cold = rows.join(hot, keys, "left_anti").select(columns)
+        done = cold if done is None else done.unionByName(cold)
+        rows = rows.join(hot, keys).withColumn("q", F.col("q") + F.col("more"))
+        rows = rows.withColumn("node", F.expr("shiftrightunsigned(shiftleft(r, width), 64 - q)")).withColumn("apart", F.col("lo").bitwiseXOR(F.col("hi")))
+        mask = F.explode(F.element_at(F.element_at(masks, (BUDGET + 1 - F.bit_count("apart")).cast("int")), F.col("more") + 1))
+        rows = rows.withColumn("mask", mask).withColumn("other", F.col("node").bitwiseXOR(F.expr("shiftleft(apart, more)").bitwiseOR(F.col("mask"))))
+        rows = common.cut(rows.select("trie", "top", F.least("node", "other").alias("lo"), F.greatest("node", "other").alias("hi"), "q", "r", "first"))
 
 
 def traverse(r: np.ndarray, groups: np.ndarray, depth: int, lo: np.ndarray, hi: np.ndarray, q: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -169,12 +175,10 @@ def links(distinct: DataFrame, split: int = SPLIT) -> DataFrame:
     """v, root, parts, label: a star for each component found in a subtree, of distinct (fp, first). The label is the
     smallest (first, fp) of the component; parts grows with its size, to deal a large star's rows to several tasks."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        trie, top, lo, hi, q, r, first = (np.concatenate([b.column(k).to_numpy() for b in held] or [np.zeros(0, np.int64)]) for k in range(7))
-        r = r.view(np.uint64)
-        order = np.lexsort((r, hi, lo, top, trie))
-        trie, top, lo, hi, q, r, first = (x[order] for x in (trie, top, lo, hi, q, r, first))
+    def stars_of(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """The stars of whole groups."""
+        r = columns[5].view(np.uint64)
+        trie, top, lo, hi, q, r, first = (x[np.lexsort((r, *columns[3::-1]))] for x in (*columns[:5], r, columns[6]))
         for t, turn in enumerate(TURNS):
             for bits in np.unique(q[trie == t]):
                 own = np.flatnonzero((trie == t) & (q == bits))
@@ -186,8 +190,7 @@ def links(distinct: DataFrame, split: int = SPLIT) -> DataFrame:
                     continue
                 bounds = np.concatenate([[0], np.cumsum(np.diff(cuts)[large])])
                 rr, ids = r[own], first[own]
-                nodes = (x[own][bounds[:-1]].astype(np.int64) for x in (lo, hi))
-                label = components(len(rr), traverse(rr, bounds, BLOCKS[t], *nodes, int(bits)))
+                label = components(len(rr), traverse(rr, bounds, BLOCKS[t], lo[own][bounds[:-1]], hi[own][bounds[:-1]], int(bits)))
                 size = np.bincount(label, minlength=len(rr))[label]
                 fp = (rr if not turn else (rr >> np.uint64(turn)) | (rr << np.uint64(64 - turn))).view(np.int64)
                 by = np.lexsort((fp, ids, label))  # a component's smallest (first, fp) leads it
@@ -195,10 +198,28 @@ def links(distinct: DataFrame, split: int = SPLIT) -> DataFrame:
                 least = np.zeros(len(rr), np.int64)
                 least[label[leads]] = leads
                 lead, many = least[label], size > 1
-                columns = [fp[many], fp[lead][many], (size[many] // PART + 1).astype(np.int32), ids[lead][many]]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["v", "root", "parts", "first"])
+                found = [fp[many], fp[lead][many], (size[many] // PART + 1).astype(np.int32), ids[lead][many]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["v", "root", "parts", "first"])
 
-    groups = subtrees(distinct, split).repartition("trie", "top", "lo", "hi")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Whole groups at a time, as rows come sorted by group."""
+        held: list[list[np.ndarray]] = []
+        rows = 0
+        for b in batches:
+            held.append([c.to_numpy() for c in b.columns])
+            rows += b.num_rows
+            if rows >= HELD:
+                columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+                last = np.flatnonzero(np.any([x[1:] != x[:-1] for x in columns[:4]], axis=0))
+                end = int(last[-1]) + 1 if len(last) else 0  # where the last group starts, which may go on
+                if end:
+                    yield from stars_of([x[:end] for x in columns])
+                held = [[x[end:] for x in columns]]
+                rows = len(columns[0]) - end
+        if rows:
+            yield from stars_of([np.concatenate(x) for x in zip(*held, strict=True)])
+
+    groups = subtrees(distinct, split).repartition("trie", "top", "lo", "hi").sortWithinPartitions("trie", "top", "lo", "hi")
     stars = groups.mapInArrow(run, "v long, root long, parts int, first long")
     return stars.select("v", "root", "parts", F.struct("first", F.col("root").alias("fp")).alias("label"))
 
