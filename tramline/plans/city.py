@@ -22,7 +22,7 @@ def best_date(feed: feeds.Feed) -> int:
 
 
 def route_counts(city: City, feed: feeds.Feed, date: int | None = None) -> DataFrame:
-    return timetable.route_counts(timetable.departures(feed, date or best_date(feed), city.classify, city.frequencies))
+    return timetable.departure_counts(feed, date or best_date(feed), city.classify, city.frequencies)
 
 
 def stop_counts(city: City, feed: feeds.Feed, date: int | None = None) -> DataFrame:

@@ -106,6 +106,11 @@ DEPARTURES = (
     "per_stop AS (SELECT stop_id, " + ", ".join(f"CAST(coalesce(sum(n) FILTER (vehicle = '{v}'), 0) AS BIGINT) AS {v}" for v in ("bus", "tram", "train", "metro"))
     + ", count(DISTINCT route_id) AS unique_routes, string_agg(route_id, ',' ORDER BY route_id) AS route_ids, string_agg(route_id || ':' || n, ',' ORDER BY route_id) AS route_trip_counts, CAST(sum(n) AS BIGINT) AS trip_count FROM counts GROUP BY stop_id)",
 )
+oracle(
+    "route_kinds_last", "f_routes",
+    "SELECT route_id, coalesce(CASE WHEN t <> 1 THEN k[(t + 1) % 9 + 1] END, k[t + 1]) AS vehicle FROM (SELECT route_id, CAST(route_type AS INTEGER) AS t, "
+    "['tram', 'metro', 'train', 'bus', NULL, 'bus', NULL, 'bus', NULL, NULL, NULL, 'bus', 'train'] AS k FROM f_routes) WHERE coalesce(CASE WHEN t <> 1 THEN k[(t + 1) % 9 + 1] END, k[t + 1]) IS NOT NULL",
+)
 oracle("stop_vehicle_pivot", TIMETABLE, "SELECT stop_id, bus, tram, train, metro FROM per_stop", *DEPARTURES)
 oracle("stop_route_lists", TIMETABLE, "SELECT stop_id, unique_routes, route_ids, route_trip_counts FROM per_stop", *DEPARTURES)
 oracle("stop_trip_counts", TIMETABLE + " f_stops", "SELECT s.*, p.* EXCLUDE (stop_id) FROM f_stops s JOIN per_stop p USING (stop_id) WHERE trip_count > 0", *DEPARTURES)

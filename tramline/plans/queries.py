@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tramline import cities
 from tramline.functions import classes, geo, gtfs_time, vehicles
 from tramline.operators import calendar, components, coverage, feeds, network, osm, spatial, styles, timetable
+from tramline.plans.lineage import cut
 from tramline.sources.fixtures import spark_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,8 +118,9 @@ def gtfs_time_window(spark, sf_dir):
 def time_formats(spark, sf_dir):
     rows = spark_view(spark, sf_dir, "f_stop_times")
     t = F.col("arrival_time")
-    rows = rows.select("trip_id", "stop_id", "stop_sequence", gtfs_time.one_day_back(t).alias("adjusted"), gtfs_time.elapsed_seconds(t).alias("elapsed"), gtfs_time.clock_text(gtfs_time.elapsed_seconds(t)).alias("formatted"))
-    return rows.filter("elapsed IS NOT NULL")
+    found = F.filter(F.array(gtfs_time.elapsed_seconds(t)), lambda s: s.isNotNull())
+    rows = rows.select("trip_id", "stop_id", "stop_sequence", gtfs_time.one_day_back(t).alias("adjusted"), F.explode(found).alias("elapsed"))
+    return rows.withColumn("formatted", gtfs_time.clock_text(F.col("elapsed")))
 
 
 @query
@@ -163,18 +165,19 @@ for _city in ("warsaw", "poznan", "krakow", "gdansk", "berlin"):
     QUERIES[f"vehicle_class_{_city}"] = _vehicle_class(_city)
 
 
-def departures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All departures of the service day: scheduled ones and those of headway services."""
+def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Departures of the service day by stop and route: scheduled ones and those of headway services."""
     f = feed(spark, sf_dir)
-    f["frequencies"], more, times = views(spark, sf_dir, "f_frequencies", "f_freq_trips", "f_freq_stop_times")
-    services = calendar.active(f["calendar_dates"], DATE)
-    rows = timetable.with_routes(f["stop_times"], timetable.trips_of_services(f["trips"], services)).select("stop_id", "route_id", "arrival_time")
-    rows = rows.unionByName(timetable.expand_frequencies(f["frequencies"], more, times, services).select("stop_id", "route_id", "arrival_time"))
-    return timetable.with_vehicle(timetable.in_window(rows), f["routes"], vehicles.warsaw)
+    f["frequencies"], f["freq_trips"], f["freq_stop_times"] = views(spark, sf_dir, "f_frequencies", "f_freq_trips", "f_freq_stop_times")
+    return timetable.departure_counts(f, DATE, vehicles.warsaw)
 
 
-def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timetable.route_counts(departures(spark, sf_dir))
+@query
+def route_kinds_last(spark, sf_dir):
+    """Of routes that two feeds have, the later feed's row counts where its type is mapped."""
+    first = spark_view(spark, sf_dir, "f_routes")
+    later = first.filter("route_type <> '1'").withColumn("route_type", F.concat(F.lit(" "), ((F.col("route_type").cast("int") + 1) % 9).cast("string")))
+    return timetable.route_kinds(first.unionByName(later)).select(F.col("_route").alias("route_id"), F.col("_kind").alias("vehicle"))
 
 
 @query
@@ -194,9 +197,9 @@ def stop_trip_counts(spark, sf_dir):
 
 @query
 def network_totals(spark, sf_dir):
-    rows = counts(spark, sf_dir)
-    stops = timetable.totals(timetable.stops_with_service(spark_view(spark, sf_dir, "f_stops"), rows)).withColumn("_one", F.lit(1))
-    return stops.join(rows.agg(F.countDistinct("route_id").alias("routes"), F.lit(1).alias("_one")), "_one").drop("_one")
+    rows = cut(counts(spark, sf_dir))  # read twice
+    stops = timetable.totals(timetable.stops_with_service(spark_view(spark, sf_dir, "f_stops"), rows))
+    return stops.withColumn("routes", rows.agg(F.countDistinct("route_id")).scalar())
 
 
 # ---- geometry
