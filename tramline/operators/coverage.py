@@ -6,11 +6,11 @@ frequency of a cell is the sum, over routes, of the largest count among the stop
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramline.functions import classes, geo
-from tramline.operators import components
+from tramline.operators import components, regions
 from tramline.plans.lineage import cut
 
 CELL, BUFFER = 25.0, 50.0
@@ -41,28 +41,63 @@ def frequency(cells_: DataFrame, route_counts: DataFrame) -> DataFrame:
     return best.groupBy("cx", "cy").agg(F.sum("n").alias("deduped_trips"), F.count(F.lit(1)).alias("unique_routes"))
 
 
-def dissolve(freq: DataFrame, size: float = CELL, first_of_value: bool = False) -> DataFrame:
+def labelled(freq: DataFrame) -> DataFrame:
+    """freq's cells with part, the smallest cell ("cx_cy") of their region: cells of equal frequency that share sides.
+
+    Cells of one row that follow each other are one run, found by a window over the row; the regions are the components
+    of runs, of which there are far fewer, and which take fewer rounds.
+    """
+    freq = cut(freq)  # read three times below
+    row = Window.partitionBy("cy", "deduped_trips")
+    packed = freq.withColumn("v", F.col("cx") * F.lit(1 << 32) + F.col("cy") + F.lit(1 << 31))
+    packed = packed.withColumn("island", F.col("cx") - F.row_number().over(row.orderBy("cx")))
+    packed = cut(packed.withColumn("run", F.min("v").over(Window.partitionBy("cy", "deduped_trips", "island"))).drop("island", "v"))
+    here = packed.select("cx", "cy", "deduped_trips", "run")
+    above = here.select("cx", (F.col("cy") - 1).alias("cy"), "deduped_trips", F.col("run").alias("b"))
+    near = here.join(above, ["cx", "cy", "deduped_trips"]).select(F.col("run").alias("a"), "b")
+    labels = components.components(packed.select(F.col("run").alias("v")).distinct(), near).withColumnRenamed("v", "run")
+    cx = F.shiftright("component", 32)
+    part = F.concat_ws("_", cx.cast("string"), (F.col("component") - F.shiftleft(cx, 32) - F.lit(1 << 31)).cast("string"))
+    return packed.join(labels, "run").select("cx", "cy", "deduped_trips", "unique_routes", part.alias("part"))
+
+
+def dissolve(freq: DataFrame, size: float = CELL, first_of_value: bool = True) -> DataFrame:
     """part (smallest cell of the region as "cx_cy"), deduped_trips, unique_routes, cells, area_ha of every connected
     region of equal frequency (cells that share a side), within the area limits.
 
-    unique_routes is that of the region's first cell; with first_of_value, of the first cell of all that frequency.
+    unique_routes is that of the first cell of all that frequency; without first_of_value, of the region's first cell.
     """
-    freq = cut(freq)  # read four times below
-    packed = freq.withColumn("v", F.col("cx") * F.lit(1 << 32) + F.col("cy") + F.lit(1 << 31))
-    here = packed.select("v", "cx", "cy", "deduped_trips")
-    near = []
-    for dx, dy in ((1, 0), (0, 1)):
-        there = here.select((F.col("cx") - dx).alias("cx"), (F.col("cy") - dy).alias("cy"), F.col("deduped_trips"), F.col("v").alias("b"))
-        near.append(here.join(there, ["cx", "cy", "deduped_trips"]).select(F.col("v").alias("a"), "b"))
-    labels = components.components(packed.select("v"), near[0].unionByName(near[1]))
-    rows = packed.join(labels, "v").withColumn("at", F.struct("cx", "cy"))
-    parts = rows.groupBy("component", "deduped_trips").agg(F.min("at").alias("at"), F.min_by("unique_routes", "at").alias("unique_routes"), F.count(F.lit(1)).alias("cells"))
+    return summed(labelled(freq), size, first_of_value)
+
+
+def summed(rows: DataFrame, size: float = CELL, first_of_value: bool = True) -> DataFrame:
+    """The regions (see dissolve) of labelled cells."""
+    rows = rows.withColumn("at", F.struct("cx", "cy"))
+    found = rows.groupBy("part", "deduped_trips").agg(F.min_by("unique_routes", "at").alias("unique_routes"), F.count(F.lit(1)).alias("cells"))
     if first_of_value:
         first = rows.groupBy("deduped_trips").agg(F.min_by("unique_routes", "at").alias("unique_routes"))
-        parts = parts.drop("unique_routes").join(first, "deduped_trips")
+        found = found.drop("unique_routes").join(first, "deduped_trips")
     square = F.col("cells") * (size * size)
-    parts = parts.filter((square > LEAST_AREA) & (square <= MOST_AREA))
-    return parts.select(F.concat_ws("_", F.col("at.cx").cast("string"), F.col("at.cy").cast("string")).alias("part"), "deduped_trips", "unique_routes", "cells", (square / 10_000).alias("area_ha"))
+    found = found.filter((square > LEAST_AREA) & (square <= MOST_AREA))
+    return found.select("part", "deduped_trips", "unique_routes", "cells", (square / 10_000).alias("area_ha"))
+
+
+def outlined(rows: DataFrame, size: float = CELL, first_of_value: bool = True) -> DataFrame:
+    """The regions of labelled cells with their polygons in metres."""
+    rows = cut(rows)  # read twice
+    found = cut(summed(rows, size, first_of_value))
+    shapes = regions.outlines(rows.join(found.select("part"), "part", "left_semi"), "part", size)
+    return found.join(shapes, "part")
+
+
+def stop_areas(cells_: DataFrame, size: float = CELL) -> DataFrame:
+    """stop_id, area_ha, polygons in metres of every stop's cells."""
+    return regions.outlines(cells_, "stop_id", size).withColumn("area_ha", regions.area(F.col("polygons")) / 10_000)
+
+
+def summary(parts: DataFrame) -> DataFrame:
+    """One row over regions: how many, the largest frequency and route count, area in all and on average."""
+    return parts.agg(F.count(F.lit(1)).alias("regions"), F.max("deduped_trips").alias("most_trips"), F.max("unique_routes").alias("most_routes"), F.sum("area_ha").alias("area_ha"), F.avg("area_ha").alias("mean_area_ha"))
 
 
 def by_class(parts: DataFrame) -> DataFrame:

@@ -2,32 +2,49 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.plans.lineage import cut, drop
 
 WALK, LEAST_NODES = 375.0, 3
+#: Tables of rounds that are read side by side before they become one.
+ROUNDS = 8
 
 
 def reach(seeds: DataFrame, edges: DataFrame, radius: float = WALK, least: int = LEAST_NODES) -> DataFrame:
     """stop_id, node_id, dist of all nodes within radius of each seed (stop_id, node_id), itself included, for seeds that
     reach at least so many nodes. edges: src, dst, length, directed; of parallel edges the shortest counts.
 
-    A round extends only what the round before improved, keeps the least distance by map-side aggregation, and is
-    written to the shared folder; rounds end when nothing improves.
+    A round extends only what the round before improved: of its steps the least for each node that is nearer than before
+    is a small table of its own, so a round reads what is known but writes only what it found. Rounds end when nothing
+    improves.
     """
     edges = cut(edges.groupBy(F.col("src").alias("node_id"), "dst").agg(F.min("length").alias("length")).filter(F.col("length") <= radius))
-    state = cut(seeds.select("stop_id", "node_id", F.lit(0.0).alias("dist"), F.lit(True).alias("new")).distinct())
+    keys = ["stop_id", "node_id"]
+    new = cut(seeds.select(*keys, F.lit(0.0).alias("dist")).distinct())
+    rounds = [new]
+
+    def known() -> DataFrame:
+        return reduce(DataFrame.unionByName, rounds).groupBy(*keys).agg(F.min("dist").alias("dist"))
+
     while True:
-        step = state.filter("new").join(edges, "node_id").select("stop_id", F.col("dst").alias("node_id"), (F.col("dist") + F.col("length")).alias("dist"))
-        step = step.filter(F.col("dist") <= radius)
-        rows = state.select("stop_id", "node_id", "dist", F.lit(1).alias("old")).unionByName(step.withColumn("old", F.lit(0)))
-        best = rows.groupBy("stop_id", "node_id").agg(F.min("dist").alias("dist"), F.min(F.when(F.col("old") == 1, F.col("dist"))).alias("before"))
-        before, state = state, cut(best.select("stop_id", "node_id", "dist", (F.col("before").isNull() | (F.col("dist") < F.col("before"))).alias("new")))
-        drop(before)
-        if state.filter("new").isEmpty():
+        step = new.join(edges, "node_id").select("stop_id", F.col("dst").alias("node_id"), (F.col("dist") + F.col("length")).alias("dist")).filter(F.col("dist") <= radius)
+        step = step.groupBy(*keys).agg(F.min("dist").alias("dist"))
+        before = known().withColumnRenamed("dist", "before")
+        new = cut(step.join(before, keys, "left").filter("before IS NULL OR dist < before").select(*keys, "dist"))
+        if new.isEmpty():
+            drop(new)
             break
+        rounds.append(new)
+        if len(rounds) > ROUNDS:
+            state = cut(known())
+            drop(*rounds[:-1])
+            rounds = [state, new]
+    state = cut(known())
+    drop(*rounds, edges)
     rows = state.select("stop_id", "node_id", "dist")
     enough = rows.groupBy("stop_id").count().filter(F.col("count") >= least).select("stop_id")
     return rows.join(enough, "stop_id", "left_semi")

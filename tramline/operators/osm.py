@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.functions import classes
+from tramline.functions import classes, geo
 
 ELEMENT = (
     "type string, id bigint, lat double, lon double, geometry array<struct<lat:double,lon:double>>, "
@@ -41,6 +41,43 @@ COLUMNS = {
 }
 
 
+def read_elements(spark: SparkSession, uri: str) -> DataFrame:
+    """ELEMENT of the answers of a map query in JSON, one object with elements a file; what isn't there is null."""
+    struct = ", ".join(f"{name}:{kind}" for name, kind in (x.split(" ", 1) for x in _top_level(ELEMENT)))
+    return spark.read.schema(f"elements array<struct<{struct}>>").option("multiLine", True).json(uri).select(F.inline("elements"))
+
+
+def _top_level(schema: str) -> list[str]:
+    """The fields of a schema text."""
+    out, depth = [""], 0
+    for c in schema:
+        depth += (c == "<") - (c == ">")
+        if c == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return [x.strip() for x in out]
+
+
+def only_polygons(shapes: DataFrame) -> DataFrame:
+    """Shapes with an area, as buildings have."""
+    return shapes.filter(F.col("kind").isin("Polygon", "MultiPolygon"))
+
+
+def heavy_rail(features: DataFrame) -> DataFrame:
+    """What is drawn of the railways, where the kind is known."""
+    return features.filter("railway = 'rail'") if "railway" in features.columns else features
+
+
+def centre(shapes: DataFrame) -> DataFrame:
+    """shapes with lon and lat: a node's point, the centre of gravity of a way's line or of the largest outer ring."""
+    point = lambda line: F.transform(line, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
+    outer = F.transform(F.col("polygons"), lambda polygon: point(polygon[0]))
+    largest = F.get(F.array_sort(outer, lambda a, b: (geo.ring_area(b) > geo.ring_area(a)).cast("int") - (geo.ring_area(b) < geo.ring_area(a)).cast("int")), F.lit(0))
+    at = F.when(F.size("polygons") > 0, geo.ring_centroid(largest)).otherwise(geo.line_centroid(point(F.get("lines", F.lit(0)))))
+    return shapes.withColumn("_at", at).withColumns({"lon": F.col("_at.x"), "lat": F.col("_at.y")}).drop("_at")
+
+
 def tag(name: str) -> Column:
     return F.try_element_at("tags", F.lit(name))
 
@@ -128,6 +165,22 @@ def inside(point: tuple, ring: list) -> bool:
     return odd
 
 
+def holds(outer: list, hole: list) -> bool:
+    """Whether a ring holds another whole: all its corners and the middles of its sides, on the ring or inside."""
+    middles = [((a[0] + b[0]) / 2, (a[1] + b[1]) / 2) for a, b in zip(hole, hole[1:], strict=False)]
+    places = [inside(p, outer) or on_line(p, outer) for p in (*hole, *middles)]
+    return all(places) and any(inside(p, outer) and not on_line(p, outer) for p in (*hole, *middles))
+
+
+def on_line(point: tuple, line: list) -> bool:
+    x, y = point
+    for (ax, ay), (bx, by) in zip(line, line[1:], strict=False):
+        cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+        if abs(cross) <= 1e-12 * (abs(bx - ax) + abs(by - ay) + 1e-300) and min(ax, bx) <= x <= max(ax, bx) and min(ay, by) <= y <= max(ay, by):
+            return True
+    return False
+
+
 def shape(kind: str, geometry: list | None, members: list | None) -> tuple[str, list, list] | None:
     """(Polygon, LineString, MultiPolygon or MultiLineString, polygons, lines) of a way or relation; None for none."""
     if kind == "way":
@@ -145,7 +198,7 @@ def shape(kind: str, geometry: list | None, members: list | None) -> tuple[str,
         inner = [r for r in assemble(own["inner"]) if len(r) >= 4] if own["inner"] else []
         if len(outer) == 1:
             return "Polygon", [[outer[0], *inner]], []
-        return "MultiPolygon", [[o, *(i for i in inner if inside(i[0], o))] for o in outer], []
+        return "MultiPolygon", [[o, *(i for i in inner if holds(o, i))] for o in outer], []
     lines = [x for x in own[""] if len(x) >= 2]
     return ("MultiLineString", [], lines) if lines else None
 
@@ -193,12 +246,41 @@ def simplify_line(line: np.ndarray, tolerance: float) -> np.ndarray:
     return line[keep]
 
 
+def crosses_itself(line: np.ndarray) -> bool:
+    """Whether two sides of a line that aren't neighbours meet."""
+    a, b = line[:-1], line[1:]
+    n, ring = len(a), bool((line[0] == line[-1]).all())
+    side = lambda p, q, r: (q[..., 0] - p[..., 0]) * (r[..., 1] - p[..., 1]) - (q[..., 1] - p[..., 1]) * (r[..., 0] - p[..., 0])
+    for k in range(n - 2):
+        rest = slice(k + 2, n - (ring and k == 0))
+        c, d = a[rest], b[rest]
+        apart = (np.minimum(c, d) > np.maximum(a[k], b[k])).any(axis=1) | (np.maximum(c, d) < np.minimum(a[k], b[k])).any(axis=1)
+        meet = (np.sign(side(a[k], b[k], c)) * np.sign(side(a[k], b[k], d)) <= 0) & (np.sign(side(c, d, a[k])) * np.sign(side(c, d, b[k])) <= 0)
+        if (meet & ~apart).any():
+            return True
+    return False
+
+
+def simplified(line: np.ndarray, tolerance: float) -> np.ndarray:
+    """simplify_line, with half the tolerance as long as that makes a line cross itself that didn't."""
+    out = simplify_line(line, tolerance)
+    if len(out) < len(line) and len(out) > 3 and crosses_itself(out) and not crosses_itself(line):
+        for _ in range(20):
+            tolerance /= 2
+            out = simplify_line(line, tolerance)
+            if not crosses_itself(out):
+                return out
+        return line
+    return out
+
+
 def simplify(lines: DataFrame, tolerance: float = 5.0) -> DataFrame:
-    """lines (id, line array<array<double>>) with fewer points."""
+    """lines (id, line array<array<double>>) with fewer points; lines that don't cross themselves still don't. A null or
+    empty line stays as it is."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = [simplify_line(np.array([np.asarray(p, float) for p in x]), tolerance).tolist() for x in pdf["line"]]
+            out = [x if x is None or not len(x) else simplified(np.array([np.asarray(p, float) for p in x]), tolerance).tolist() for x in pdf["line"]]
             yield pd.DataFrame({"id": pdf["id"], "line": out})
 
     return lines.select("id", "line").mapInPandas(run, "id bigint, line array<array<double>>")

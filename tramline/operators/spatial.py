@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tramline.functions import geo
 
-#: Degrees of a bucket for nearest nodes: at least the longest side of MAX_SNAP metres up to 60 degrees north.
-SNAP_CELL, MAX_SNAP = 0.01, 500.0
+MAX_SNAP = 500.0
+#: Metres of a degree, a little less than the least there is: of latitude, and of longitude at the equator.
+DEGREE, EQUATOR = 110_400.0, 111_100.0
 PAD, READ_PAD = 500.0, 1000.0
 
 
@@ -21,27 +22,33 @@ def around(value: Column, size: float, reach: float) -> Column:
     return F.sequence(F.floor((value - reach) / size), F.floor((value + reach) / size))
 
 
-def near_pairs(left: DataFrame, right: DataFrame, size: float, reach: float) -> DataFrame:
-    """Rows of left (with x, y) beside rows of right (with rx, ry) within reach on both axes: the right side goes to all
-    cells that its reach touches, the left to its own, and the rest is an equi-join."""
+def near_pairs(left: DataFrame, right: DataFrame, size: float, reach: float | Column) -> DataFrame:
+    """Rows of left (with x, y) beside rows of right (with rx, ry) within reach on both axes: the right side, whose rows
+    may have a reach each, goes to all cells that its reach touches, the left to its own, and the rest is an equi-join."""
     left = left.withColumns({"_cx": cell(F.col("x"), size), "_cy": cell(F.col("y"), size)})
-    right = right.withColumn("_cx", F.explode(around(F.col("rx"), size, reach))).withColumn("_cy", F.explode(around(F.col("ry"), size, reach)))
-    return left.join(right, ["_cx", "_cy"]).drop("_cx", "_cy").filter((F.abs(F.col("x") - F.col("rx")) <= reach) & (F.abs(F.col("y") - F.col("ry")) <= reach))
+    right = right.withColumn("_reach", reach if isinstance(reach, Column) else F.lit(reach))
+    for axis in "xy":
+        right = right.withColumn(f"_c{axis}", F.explode(around(F.col(f"r{axis}"), size, F.col("_reach"))))
+    near = (F.abs(F.col("x") - F.col("rx")) <= F.col("_reach")) & (F.abs(F.col("y") - F.col("ry")) <= F.col("_reach"))
+    return left.join(right, ["_cx", "_cy"]).filter(near).drop("_cx", "_cy", "_reach")
 
 
 def nearest_node(stops: DataFrame, nodes: DataFrame, crs: str, max_snap: float = MAX_SNAP) -> DataFrame:
     """stop_id, node_id, snap_cm: the node nearest in degrees, ties to the smaller id, if it lies within max_snap metres.
 
-    stops: stop_id, stop_lon, stop_lat. nodes: node_id, x, y in degrees. Any node beyond the neighbouring buckets is
-    farther than max_snap, so that it could win only where no node snaps.
+    stops: stop_id, stop_lon, stop_lat. nodes: node_id, x, y in degrees. A node that snaps is at most as far in degrees as
+    max_snap is along the parallel, so nodes farther than that on an axis can't be the nearest where any snaps; the
+    reach follows from max_snap and the stop's latitude.
     """
-    left = stops.select("stop_id", F.col("stop_lon").alias("x"), F.col("stop_lat").alias("y"))
-    right = nodes.select("node_id", F.col("x").alias("rx"), F.col("y").alias("ry"))
-    pairs = near_pairs(left, right, SNAP_CELL, SNAP_CELL)
+    left = nodes.select("node_id", "x", "y")
+    right = stops.select("stop_id", F.col("stop_lon").alias("rx"), F.col("stop_lat").alias("ry"))
+    high = max_snap / DEGREE
+    along = max_snap / (EQUATOR * F.cos(F.radians(F.least(F.lit(89.9), F.abs(F.col("ry")) + high))))
+    pairs = near_pairs(left, right, 4 * high, F.greatest(F.lit(high), along))
     dx, dy = F.col("x") - F.col("rx"), F.col("y") - F.col("ry")
     best = pairs.groupBy("stop_id").agg(F.min_by(F.struct("node_id", "x", "y", "rx", "ry"), F.struct((dx * dx + dy * dy).alias("d"), "node_id")).alias("b"))
-    e1, n1 = geo.project(F.col("b.x"), F.col("b.y"), crs)
-    e2, n2 = geo.project(F.col("b.rx"), F.col("b.ry"), crs)
+    e1, n1 = geo.project(F.col("b.rx"), F.col("b.ry"), crs)
+    e2, n2 = geo.project(F.col("b.x"), F.col("b.y"), crs)
     far = F.sqrt((e1 - e2) * (e1 - e2) + (n1 - n2) * (n1 - n2))
     return best.select("stop_id", "b.node_id", geo.centimetres(far).alias("snap_cm")).filter(F.col("snap_cm") <= max_snap * 100)
 

@@ -127,3 +127,8 @@ def departure_counts(feed: dict[str, DataFrame], date: int, rule: Callable[[Colu
 def totals(stops: DataFrame) -> DataFrame:
     """One row over stops with service: how many, departures by kind and in all."""
     return stops.agg(F.count(F.lit(1)).alias("stops"), *[F.sum(c).alias(c) for c in ("bus", "tram", "train", "metro", "trip_count")])
+
+
+def fill_zero(rows: DataFrame) -> DataFrame:
+    """rows without nulls: 0 in columns of numbers, "0" in those of texts."""
+    return rows.na.fill(0).na.fill("0")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from tramline.functions import classes, geo
 from tramline.sources.fixtures import duckdb_views
 
 ORACLES: dict[str, str] = {}
@@ -80,7 +79,7 @@ oracle("stop_value_counts", "f_stop_times", "SELECT stop_id, count(*) AS n FROM
 oracle(
     "vehicle_regex", "f_trip_names",
     "SELECT trip_id, CASE WHEN regexp_matches(trip_id, '/\\d{1,2}/') THEN 'tram' WHEN regexp_matches(trip_id, '/\\d{3}/') THEN 'bus' WHEN regexp_matches(trip_id, '/(L|E|Z)[-\\w]{1,3}/') THEN 'bus' "
-    "WHEN regexp_matches(trip_id, '/S\\d{1,2}/') THEN 'train' WHEN regexp_matches(trip_id, '/N\\d{1,2}/') THEN 'night_bus' ELSE 'Unknown' END AS vehicle, split_part(trip_id, '/', 2) AS line FROM f_trip_names",
+    "WHEN regexp_matches(trip_id, '/S\\d{1,2}/') THEN 'train' WHEN regexp_matches(trip_id, '/N\\d{1,2}/') THEN 'night_bus' ELSE 'Unknown' END AS vehicle, split_part(trip_id, '/', 1) AS route, split_part(trip_id, '/', 2) AS line FROM f_trip_names",
 )
 
 R = "trim(route_id)"
@@ -125,9 +124,24 @@ def cm(x: str) -> str:
     return f"CAST(round(({x}) * 100) AS BIGINT)"
 
 
+#: Transverse Mercator by the same series, with the numbers of the ellipsoid and of the two systems written out.
+TM = {"EPSG:2180": (19.0, 0.9993, 500000.0, -5300000.0), "EPSG:25833": (15.0, 0.9996, 500000.0, 0.0)}
+
+
+def tm(lon: str, lat: str, crs: str) -> tuple[str, str]:
+    lon0, scale, east, north = TM[crs]
+    phi, dl = f"radians({lat})", f"radians(({lon}) - {lon0})"
+    t = f"sinh(atanh(sin({phi})) - 0.08181919104281579e0 * atanh(0.08181919104281579e0 * sin({phi})))"
+    xi, eta = f"atan2({t}, cos({dl}))", f"atanh(sin({dl}) / sqrt(1 + ({t}) * ({t})))"
+    series = ((2, "0.0008377318247344344e0"), (4, "7.608527788826164e-07"), (6, "1.1976380191731537e-09"), (8, "2.443376242510368e-12"))
+    e = " + ".join([eta, *(f"{a} * cos({k} * {xi}) * sinh({k} * {eta})" for k, a in series)])
+    n = " + ".join([xi, *(f"{a} * sin({k} * {xi}) * cosh({k} * {eta})" for k, a in series)])
+    return f"({east} + {scale} * 6367449.145771048e0 * ({e}))", f"({north} + {scale} * 6367449.145771048e0 * ({n}))"
+
+
 _tm = []
-for _crs in geo.SYSTEMS:
-    _e, _n = geo.project_sql("x", "y", _crs)
+for _crs in TM:
+    _e, _n = tm("x", "y", _crs)
     _tm.append(f"SELECT '{_crs}' AS crs, node_id, {cm(_e)} AS e_cm, {cm(_n)} AS n_cm FROM f_nodes")
 oracle("project_tm", "f_nodes", " UNION ALL ".join(_tm))
 oracle("web_mercator_frame", "f_nodes", f"SELECT min(e) AS xmin, max(e) AS xmax, min(n) AS ymin, max(n) AS ymax FROM (SELECT {cm('6378137.0 * radians(x)')} AS e, {cm('6378137.0 * ln(tan(pi() / 4 + radians(y) / 2))')} AS n FROM f_nodes)")
@@ -137,11 +151,11 @@ _boxes = {
 }
 _extents = []
 for _city, (_s, _w, _nn, _ee, _crs) in _boxes.items():
-    (_x1, _y1), (_x2, _y2) = geo.project_sql(f"{_w}::DOUBLE", f"{_s}::DOUBLE", _crs), geo.project_sql(f"{_ee}::DOUBLE", f"{_nn}::DOUBLE", _crs)
+    (_x1, _y1), (_x2, _y2) = tm(f"{_w}::DOUBLE", f"{_s}::DOUBLE", _crs), tm(f"{_ee}::DOUBLE", f"{_nn}::DOUBLE", _crs)
     _extents.append(f"SELECT '{_city}' AS city, {cm(_x1 + ' - 500')} AS xmin, {cm(_x2 + ' + 500')} AS xmax, {cm(_y1 + ' - 500')} AS ymin, {cm(_y2 + ' + 500')} AS ymax")
 ORACLES["city_extents"] = " UNION ALL ".join(_extents)
-_e1, _n1 = geo.project_sql("stop_lon", "stop_lat", "EPSG:2180")
-_e2, _n2 = geo.project_sql("x", "y", "EPSG:2180")
+_e1, _n1 = tm("stop_lon", "stop_lat", "EPSG:2180")
+_e2, _n2 = tm("x", "y", "EPSG:2180")
 oracle(
     "nearest_node", "f_stops f_nodes",
     f"SELECT stop_id, node_id, snap_cm FROM (SELECT stop_id, node_id, {cm(f'sqrt(({_e1} - {_e2}) * ({_e1} - {_e2}) + ({_n1} - {_n2}) * ({_n1} - {_n2}))')} AS snap_cm FROM ranked WHERE r = 1) WHERE snap_cm <= 50000",
@@ -175,11 +189,35 @@ PARTS = (
     "joined(sx, sy, cx, cy) AS (SELECT cx, cy, cx, cy FROM freq UNION SELECT j.sx, j.sy, n.bx, n.by2 FROM joined j JOIN near n ON n.ax = j.cx AND n.ay = j.cy)",
     "labelled AS (SELECT cx, cy, min(row(sx, sy)) AS first FROM joined GROUP BY cx, cy)",
     "grouped AS (SELECT first, deduped_trips, count(*) AS cells, arg_min(unique_routes, row(cx, cy)) AS unique_routes FROM labelled JOIN freq USING (cx, cy) GROUP BY first, deduped_trips)",
-    "parts AS (SELECT first[1] || '_' || first[2] AS part, deduped_trips, unique_routes, cells, cells * 0.0625::DOUBLE AS area_ha FROM grouped WHERE cells * 625 > 10 AND cells * 625 <= 5000000)",
+    "own AS (SELECT first[1] || '_' || first[2] AS part, deduped_trips, unique_routes, cells, cells * 0.0625::DOUBLE AS area_ha FROM grouped WHERE cells * 625 > 10 AND cells * 625 <= 5000000)",
+    "firsts AS (SELECT deduped_trips, arg_min(unique_routes, row(cx, cy)) AS unique_routes FROM freq GROUP BY deduped_trips)",
+    "parts AS (SELECT part, deduped_trips, f.unique_routes, cells, area_ha FROM own JOIN firsts f USING (deduped_trips))",
 )
+oracle("coverage_own_routes", COVERAGE, "SELECT * FROM own", *PARTS)
+oracle("coverage_summary", COVERAGE, "SELECT count(*) AS regions, max(deduped_trips) AS most_trips, max(unique_routes) AS most_routes, sum(area_ha) AS area_ha, avg(area_ha) AS mean_area_ha FROM parts", *PARTS)
+oracle(
+    "coverage_rings", COVERAGE,
+    "SELECT part, deduped_trips, 1::INTEGER AS polygons, CAST(2 - cells + sides - blocks AS INTEGER) AS rings, CAST(corners + 2 - cells + sides - blocks AS INTEGER) AS points, (4 * cells - 2 * sides) * 25::DOUBLE AS length, cells * 625::DOUBLE AS area "
+    "FROM parts JOIN corners USING (part) LEFT JOIN sides USING (part) LEFT JOIN blocks USING (part)",
+    *PARTS,
+    "placed AS (SELECT cx, cy, part FROM labelled JOIN parts ON part = first[1] || '_' || first[2])",
+    "right_ AS (SELECT a.part, a.cx, a.cy FROM placed a JOIN placed b ON a.part = b.part AND b.cx = a.cx + 1 AND b.cy = a.cy)",
+    "above AS (SELECT a.part, a.cx, a.cy FROM placed a JOIN placed b ON a.part = b.part AND b.cx = a.cx AND b.cy = a.cy + 1)",
+    "sides AS (SELECT part, count(r) AS sides FROM (SELECT part, NULL AS r FROM parts UNION ALL SELECT part, 1 FROM right_ UNION ALL SELECT part, 1 FROM above) GROUP BY part)",
+    "blocks AS (SELECT p.part, count(u.part) AS blocks FROM parts p LEFT JOIN (SELECT a.part FROM right_ a JOIN right_ b ON a.part = b.part AND a.cx = b.cx AND b.cy = a.cy + 1 "
+    "JOIN above c ON c.part = a.part AND c.cx = a.cx AND c.cy = a.cy) u ON u.part = p.part GROUP BY p.part)",
+    "vertices AS (SELECT part, cx + dx AS x, cy + dy AS y, count(*) AS n, count(*) FILTER (dx = dy) AS same FROM placed, (VALUES (0), (1)) i(dx), (VALUES (0), (1)) j(dy) GROUP BY ALL)",
+    "corners AS (SELECT part, sum(CASE WHEN n IN (1, 3) THEN 1 WHEN n = 2 AND same <> 1 THEN 2 ELSE 0 END) AS corners FROM vertices GROUP BY part)",
+)
+oracle(
+    "stop_area_rings", REACH + " f_nodes_m",
+    "SELECT stop_id, count(*) * 0.0625::DOUBLE AS area_ha, count(*) * 625 AS square_metres, min(cx) * 25 AS xmin, (max(cx) + 1) * 25 AS xmax, min(cy) * 25 AS ymin, (max(cy) + 1) * 25 AS ymax FROM cells GROUP BY stop_id", *WALK, *EDGES, *CELLS,
+)
 oracle("coverage_dissolve", COVERAGE, "SELECT * FROM parts", *PARTS)
-_breaks = "[" + ", ".join(map(str, classes.BREAKS)) + "]"
-_labels = "[" + ", ".join(f"'{a} - {b}'" for a, b in zip(classes.BREAKS, classes.BREAKS[1:], strict=False)) + f", '{classes.BREAKS[-1]}+']"
+_breaks = "[1, 10, 25, 50, 80, 120, 170, 250, 350, 450, 600, 800, 1000, 1300, 1700, 2200, 2800, 3500]"
+_labels = (
+    "['1 - 10', '10 - 25', '25 - 50', '50 - 80', '80 - 120', '120 - 170', '170 - 250', '250 - 350', '350 - 450', '450 - 600', '600 - 800', '800 - 1000', '1000 - 1300', '1300 - 1700', '1700 - 2200', '2200 - 2800', '2800 - 3500', '3500+']"
+)
 oracle(
     "coverage_classes", COVERAGE,
     f"SELECT class, count(*) AS regions, sum(area_ha) AS area_ha, {_labels}[class + 1] AS label FROM (SELECT *, CAST(greatest(0, len(list_filter({_breaks}, lambda b: b <= deduped_trips)) - 1) AS INTEGER) AS class FROM parts) GROUP BY class", *PARTS,
@@ -222,6 +260,36 @@ oracle(
     "(SELECT id, unnest(string_split(route_trip_counts, ',')) AS p, unnest(range(len(string_split(route_trip_counts, ',')))) AS k FROM f_routecounts WHERE route_trip_counts <> '')) WHERE n IS NOT NULL GROUP BY id, route_id",
 )
 ORACLES["qml_ranges"] = (
-    f"SELECT CAST(i AS INTEGER) AS class, printf('<range lower=\"%d\" upper=\"%d\" symbol=\"%d\" label=\"%s\" render=\"true\"/>', {_breaks}[i + 1], coalesce({_breaks}[i + 2], 100000), i, {_labels}[i + 1]) AS element FROM range({len(classes.BREAKS)}) r(i)"
+    f"SELECT CAST(i AS INTEGER) AS class, printf('<range lower=\"%d\" upper=\"%d\" symbol=\"%d\" label=\"%s\" render=\"true\"/>', {_breaks}[i + 1], coalesce({_breaks}[i + 2], 100000), i, {_labels}[i + 1]) AS element FROM range(18) r(i)"
 )
 ORACLES["osm_rings"] = "SELECT p_partkey AS osm_id, 'Polygon' AS kind, 2::INTEGER AS rings, 5::INTEGER AS outer_points, 4::INTEGER AS hole_points FROM part"
+FAR = lambda s: f"a * (8 - {s}) / (9 - {s}) * (10 * (9 - {s})) / sqrt(pow(10 * (9 - {s}), 2) + a * a) > 5"
+ORACLES["simplify"] = (  # from a corner at the bottom to the line's end, the next corner is the farthest, and then the one after it
+    f"SELECT id, CAST(2 + CASE WHEN NOT {FAR(0)} THEN 0 WHEN NOT {FAR(2)} THEN 2 WHEN NOT {FAR(4)} THEN 4 WHEN NOT {FAR(6)} THEN 6 ELSE 8 END AS INTEGER) AS points FROM (SELECT p_partkey AS id, (p_size % 11)::DOUBLE AS a FROM part)"
+)
+ORACLES["osm_holes"] = "SELECT p_partkey AS osm_id, 'MultiPolygon' AS kind, 2::INTEGER AS polygons, CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE 1 END::INTEGER AS holes FROM part"
+ORACLES["osm_centres"] = (
+    "SELECT osm_id, kind, CAST(round((20::DOUBLE + osm_id // 100 * 0.01::DOUBLE + dx) * 1e6) AS BIGINT) AS lon, CAST(round((52::DOUBLE + osm_id % 100 * 0.01::DOUBLE + dy) * 1e6) AS BIGINT) AS lat FROM (SELECT p_partkey AS osm_id, "
+    "['Polygon', 'LineString', 'Point'][p_partkey % 3 + 1] AS kind, ([0.001, 0.0015, 0.0]::DOUBLE[])[p_partkey % 3 + 1] AS dx, ([0.001, 0.0005, 0.0]::DOUBLE[])[p_partkey % 3 + 1] AS dy FROM part)"
+)
+oracle(
+    "merge_base_and_rail", "f_trips f_routes f_agency f_stop_times f_stops f_calendar_dates f_freq_trips f_freq_stop_times",
+    "SELECT route_id, service_id, count(*) AS n, 'trips' AS of FROM (SELECT route_id, service_id FROM f_trips UNION ALL SELECT route_id, 'km_' || service_id FROM km "
+    "UNION ALL SELECT CASE WHEN route_id IN (SELECT route_id FROM f_routes WHERE route_type IN ('0', '1', '2')) THEN 'wkd_' ELSE 'wkd_bus_' END || route_id, 'wkd_' || service_id FROM f_freq_trips) GROUP BY ALL "
+    "UNION ALL SELECT NULL, p, count(*), 'stops' FROM (SELECT '' AS p FROM f_stops UNION ALL SELECT 'km_' FROM f_stops WHERE stop_id IN (SELECT stop_id FROM km_times) UNION ALL SELECT 'wkd_' FROM f_stops WHERE stop_id IN ('S1', 'S2', 'S3')) GROUP BY ALL "
+    "UNION ALL SELECT NULL, p, count(*), 'times' FROM (SELECT '' AS p FROM f_stop_times UNION ALL SELECT 'km_' FROM km_times UNION ALL SELECT 'wkd_' FROM f_freq_stop_times) GROUP BY ALL "
+    "UNION ALL SELECT NULL, p, count(*), 'dates' FROM (SELECT '' AS p FROM f_calendar_dates UNION ALL SELECT 'km_' FROM f_calendar_dates WHERE service_id IN (SELECT service_id FROM km) UNION ALL SELECT 'wkd_' FROM f_calendar_dates) GROUP BY ALL",
+    "km AS (SELECT * FROM f_trips WHERE route_id IN (SELECT route_id FROM f_routes WHERE agency_id = (SELECT min(agency_id) FROM f_agency WHERE agency_name ILIKE '%asia%')))",
+    "km_times AS (SELECT * FROM f_stop_times WHERE trip_id IN (SELECT trip_id FROM km))",
+)
+oracle(
+    "calendar_load", "f_calendar f_exceptions",
+    "SELECT service_id, date, exception_type, 'exceptions' AS source FROM f_exceptions WHERE CAST(service_id AS INTEGER) % 3 = 0 UNION ALL SELECT service_id, date, exception_type, 'calendar' FROM expanded WHERE CAST(service_id AS INTEGER) % 3 = 0", EXPANDED,
+)
+oracle("features_in_extent", "f_nodes_m", "SELECT * FROM (SELECT id, mx AS xmin, mx + 30 AS xmax, my AS ymin, my + 50 AS ymax FROM f_nodes_m) WHERE xmax >= 400 AND xmin <= 1600 AND ymax >= -100 AND ymin <= 350")
+oracle("feature_bounds", "f_nodes_m", "SELECT id % 37 AS feature, min(mx) AS xmin, max(mx) AS xmax, min(my) AS ymin, max(my) AS ymax FROM f_nodes_m GROUP BY 1")
+ORACLES["box_texts"] = (
+    "SELECT i || '_' || j AS tile, 1 + i * 0.5::DOUBLE AS south, 2 + j * 0.5::DOUBLE AS west, 1.5 + i * 0.5::DOUBLE AS north, 2.5 + j * 0.5::DOUBLE AS east, 0.25::DOUBLE AS area FROM range(4) a(i), range(4) b(j)"
+)
+oracle("trips_by_text", "f_trip_names", "SELECT trip_id, trip_id AS train, 5::INTEGER AS time_minutes, 375::DOUBLE AS distance_m FROM f_trip_names WHERE contains(trip_id, '/17/')")
+oracle("filled_with_zero", "f_osm", "SELECT seen, coalesce(levels, '0') AS levels, osm_id % 4 AS n FROM f_osm")

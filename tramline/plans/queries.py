@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tramline import cities
 from tramline.functions import classes, geo, gtfs_time, vehicles
-from tramline.operators import calendar, components, coverage, feeds, network, osm, spatial, styles, timetable
+from tramline.operators import calendar, components, coverage, feeds, network, osm, regions, spatial, styles, timetable
 from tramline.plans.lineage import cut
 from tramline.sources.fixtures import spark_view
 
@@ -150,7 +150,7 @@ def stop_value_counts(spark, sf_dir):
 
 @query
 def vehicle_regex(spark, sf_dir):
-    return spark_view(spark, sf_dir, "f_trip_names").select("trip_id", vehicles.by_trip_id(F.col("trip_id")).alias("vehicle"), F.split_part("trip_id", F.lit("/"), F.lit(2)).alias("line"))
+    return spark_view(spark, sf_dir, "f_trip_names").select("trip_id", vehicles.by_trip_id(F.col("trip_id")).alias("vehicle"), F.split_part("trip_id", F.lit("/"), F.lit(1)).alias("route"), F.split_part("trip_id", F.lit("/"), F.lit(2)).alias("line"))
 
 
 def _vehicle_class(city: str) -> Query:
@@ -287,6 +287,35 @@ def coverage_topk(spark, sf_dir):
     return coverage.top_frequencies(coverage.dissolve(frequencies(spark, sf_dir), CELL))
 
 
+@query
+def coverage_own_routes(spark, sf_dir):
+    return coverage.dissolve(frequencies(spark, sf_dir), CELL, first_of_value=False)
+
+
+@query
+def coverage_summary(spark, sf_dir):
+    return coverage.summary(coverage.dissolve(frequencies(spark, sf_dir), CELL))
+
+
+@query
+def coverage_rings(spark, sf_dir):
+    """Rings, corners, length and area of the regions' polygons."""
+    rows = coverage.outlined(coverage.labelled(frequencies(spark, sf_dir)), CELL)
+    p = F.col("polygons")
+    points = F.aggregate(F.transform(regions.rings(p), lambda r: F.size(r)), F.lit(0), lambda a, b: a + b)
+    return rows.select("part", "deduped_trips", F.size(p).alias("polygons"), F.size(regions.rings(p)).alias("rings"), points.alias("points"), regions.length(p).alias("length"), regions.area(p).alias("area"))
+
+
+@query
+def stop_area_rings(spark, sf_dir):
+    """Walking areas as polygons, in degrees and back, with their bounds in metres."""
+    areas = coverage.stop_areas(isochrones(spark, sf_dir), CELL)
+    shift = lambda by: lambda x, y: F.struct((x + by * 600_000).alias("x"), (y + by * 450_000).alias("y"))
+    back = regions.every_point(regions.to_metres(regions.to_degrees(regions.every_point(F.col("polygons"), shift(1)), CRS), CRS), shift(-1))
+    rows = regions.with_bounds(areas.withColumn("polygons", back))
+    return rows.select("stop_id", "area_ha", F.round(regions.area(F.col("polygons"))).cast("bigint").alias("square_metres"), *[F.round(c).cast("bigint").alias(c) for c in ("xmin", "xmax", "ymin", "ymax")])
+
+
 @query
 def stop_clusters(spark, sf_dir):
     points = spark_view(spark, sf_dir, "f_cluster_pts")
@@ -377,3 +406,91 @@ def simplify(spark, sf_dir):
     """A zigzag of ten points a line, steps of ten metres, of an amplitude below or above the tolerance."""
     rows = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("id"), F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: F.array(k * 10.0, F.when(k % 2 == 1, (F.col("p_size") % 11).cast("double")).otherwise(F.lit(0.0)))).alias("line"))
     return osm.simplify(rows).select("id", F.size("line").alias("points"))
+
+
+@query
+def osm_holes(spark, sf_dir):
+    """Two outer squares for each part, and a hole in the second or, for every third part, in neither."""
+    p = F.col("p_partkey")
+    at = lambda dx, dy: F.struct((52.0 + p % 100 * 0.01 + dy).alias("lat"), (20.0 + F.floor(p / 100) * 0.01 + dx).alias("lon"))
+    square = lambda x, y, side: F.array(at(x, y), at(x + side, y), at(x + side, y + side), at(x, y + side), at(x, y))
+    member = lambda role, line: F.struct(F.lit("way").alias("type"), F.lit(role).alias("role"), line.alias("geometry"))
+    away = F.when(p % 3 == 0, 0.0015).otherwise(0.0)  # reaches over the second square's side
+    hole = F.array(at(0.0032, 0.0002), at(F.lit(0.0034) + away, 0.0002), at(0.0034, 0.0004), at(0.0032, 0.0002))
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.lit("relation").alias("type"), p.alias("id"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.lit(None).cast("array<struct<lat:double,lon:double>>").alias("geometry"), F.array(member("outer", square(0.0, 0.0, 0.001)), member("outer", square(0.003, 0.0, 0.001)), member("inner", hole)).alias("members"))
+    shapes = osm.only_polygons(osm.geometries(rows))
+    return shapes.select("osm_id", "kind", F.size("polygons").alias("polygons"), F.aggregate(F.transform("polygons", lambda x: F.size(x) - 1), F.lit(0), lambda a, b: a + b).alias("holes"))
+
+
+@query
+def osm_centres(spark, sf_dir):
+    """Centres of closed squares, of open lines along two of their sides, and of nodes; in millionths of a degree."""
+    p = F.col("p_partkey")
+    lon, lat = 20.0 + F.floor(p / 100) * 0.01, 52.0 + p % 100 * 0.01
+    at = lambda dx, dy: F.struct((lat + dy).alias("lat"), (lon + dx).alias("lon"))
+    corners = [at(0, 0), at(0.002, 0), at(0.002, 0.002)]
+    line = F.when(p % 3 == 0, F.array(*corners, at(0, 0.002), at(0, 0))).when(p % 3 == 1, F.array(*corners))
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.when(p % 3 == 2, "node").otherwise("way").alias("type"), p.alias("id"), lat.alias("lat"), lon.alias("lon"), line.alias("geometry"), F.lit(None).cast("array<struct<type:string,role:string,geometry:array<struct<lat:double,lon:double>>>>").alias("members"))
+    shapes = osm.centre(osm.geometries(rows))
+    return shapes.select("osm_id", "kind", *[F.round(F.col(c) * 1e6).cast("bigint").alias(c) for c in ("lon", "lat")])
+
+
+# ---- small operators
+
+
+@query
+def merge_base_and_rail(spark, sf_dir):
+    """A city's feed with one operator of a rail feed and a local railway: trips by service, and stops, of all three."""
+    base = feed(spark, sf_dir)
+    local = {"trips": spark_view(spark, sf_dir, "f_freq_trips"), "routes": base["routes"], "stop_times": spark_view(spark, sf_dir, "f_freq_stop_times"), "calendar_dates": base["calendar_dates"]}
+    local["stops"] = base["stops"].filter("stop_id IN ('S1', 'S2', 'S3')")
+    out = feeds.merge_base_and_rail(base, feed(spark, sf_dir), local, "asia")
+    trips = out["trips"].groupBy("route_id", "service_id").agg(F.count(F.lit(1)).alias("n")).withColumn("of", F.lit("trips"))
+    stops = out["stops"].groupBy(F.lit(None).cast("string").alias("route_id"), F.regexp_extract("stop_id", "^([a-z]+_)?", 0).alias("service_id")).agg(F.count(F.lit(1)).alias("n")).withColumn("of", F.lit("stops"))
+    times = out["stop_times"].groupBy(F.lit(None).cast("string").alias("route_id"), F.regexp_extract("stop_id", "^([a-z]+_)?", 0).alias("service_id")).agg(F.count(F.lit(1)).alias("n")).withColumn("of", F.lit("times"))
+    dates = out["calendar_dates"].groupBy(F.lit(None).cast("string").alias("route_id"), F.regexp_extract("service_id", "^([a-z]+_)?", 0).alias("service_id")).agg(F.count(F.lit(1)).alias("n")).withColumn("of", F.lit("dates"))
+    return trips.unionByName(stops).unionByName(times).unionByName(dates)
+
+
+@query
+def calendar_load(spark, sf_dir):
+    """Dates of some services: from the exceptions, and from the calendar where there are none."""
+    weekly, changes = views(spark, sf_dir, "f_calendar", "f_exceptions")
+    some = weekly.filter(F.col("service_id").cast("int") % 3 == 0).select("service_id")
+    one, two = calendar.load(weekly, changes, some), calendar.load(weekly, None, some)
+    return one.withColumn("source", F.lit("exceptions")).unionByName(two.withColumn("source", F.lit("calendar")))
+
+
+@query
+def features_in_extent(spark, sf_dir):
+    rows = spark_view(spark, sf_dir, "f_nodes_m").select("id", F.col("mx").alias("xmin"), (F.col("mx") + 30).alias("xmax"), F.col("my").alias("ymin"), (F.col("my") + 50).alias("ymax"))
+    return spatial.in_extent(rows, 500.0, 1500.0, 0.0, 250.0, pad=100.0)
+
+
+@query
+def feature_bounds(spark, sf_dir):
+    """Bounds of each feature's points."""
+    points = spark_view(spark, sf_dir, "f_nodes_m").groupBy((F.col("id") % 37).alias("feature")).agg(F.collect_list(F.struct(F.col("mx").alias("x"), F.col("my").alias("y"))).alias("line"))
+    return points.select("feature", *[c.alias(n) for n, c in regions.bounds(F.col("line")).items()])
+
+
+@query
+def box_texts(spark, sf_dir):
+    """Bounds of tiles as text and read back, and the area of their boxes."""
+    rows = spatial.tiles(spark, 1.0, 2.0, 3.0, 4.0, 4).withColumn("box", geo.box_of_text(geo.box_text(*map(F.col, ("south", "west", "north", "east")))))
+    ring = geo.box_ring(*map(F.col, ("west", "south", "east", "north")))
+    return rows.select("tile", "box.south", "box.west", "box.north", "box.east", geo.ring_area(ring).alias("area"))
+
+
+@query
+def trips_by_text(spark, sf_dir):
+    """Trips whose identifier holds a text, with constant columns."""
+    rows = spark_view(spark, sf_dir, "f_trip_names").filter(F.contains("trip_id", F.lit("/17/")))
+    return rows.select("trip_id", F.col("trip_id").alias("train"), F.lit(5).alias("time_minutes"), F.lit(375.0).alias("distance_m"))
+
+
+@query
+def filled_with_zero(spark, sf_dir):
+    """No nulls: 0 in numbers, "0" in texts."""
+    rows = spark_view(spark, sf_dir, "f_osm").select("seen", "levels", F.nullif(F.col("osm_id") % 4, F.lit(0)).alias("n"))
+    return timetable.fill_zero(rows)
