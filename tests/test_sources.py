@@ -93,3 +93,23 @@ def test_command_line(spark, folder, tmp_path, capsys):
     assert main(["styles", str(tmp_path / "styles")]) == 0 and (tmp_path / "styles/roads.qml").exists()
     assert main(["trips", "--city", "poznan", f"file://{folder}/data", "--date", "20260803", "--out", f"file://{tmp_path}/counts"]) == 0
     assert spark.read.csv(f"file://{tmp_path}/counts", header=True).count() == 2
+    graph = ["--graph", f"file://{folder}/graph.graphml"]
+    assert main(["isochrones", "--city", "poznan", f"{folder}/data", "--out", f"{tmp_path}/stops.gpkg", "--sample", "1", *graph]) == 0
+    got = files.read_geopackage(spark, f"file://{tmp_path}/stops.gpkg", "isochrones").collect()
+    assert [(r.properties["stop_id"], r.properties["time_minutes"]) for r in got] == [("1", "5")] and 20.8 < got[0].xmin < 20.95 and 52.1 < got[0].ymin < 52.3
+    assert main(["network", "--city", "poznan", f"{folder}/graph.graphml", "--out", f"{tmp_path}/walk"]) == 0
+    assert main(["coverage", "--city", "poznan", f"{folder}/data", "--date", "20260804", "--out", f"{tmp_path}/map.gpkg", "--graph", f"{tmp_path}/walk"]) == 0
+    got = files.read_geopackage(spark, f"file://{tmp_path}/map.gpkg", "coverage_map").collect()
+    assert max(int(r.properties["deduped_trips"]) for r in got) == 3
+    (tmp_path / "map.json").write_text('{"elements": [{"type": "way", "id": 1, "tags": {"highway": "primary"}, "geometry": [{"lat": 52.2, "lon": 20.7}, {"lat": 52.3, "lon": 20.9}]}]}')
+    assert main(["basemap", "--city", "poznan", f"{tmp_path}/map.json", "--out", f"{tmp_path}/layers"]) == 0
+    assert spark.read.parquet(f"file://{tmp_path}/layers/roads").select("osm_id", "major", "kind").collect() == [(1, True, "LineString")]
+    assert main(["render", "--city", "poznan", f"{tmp_path}/map.gpkg", "--basemap", f"{tmp_path}/layers", "--out", f"{tmp_path}/map.png", "--width", "60"]) == 0
+    assert (tmp_path / "map.png").read_bytes().startswith(b"\x89PNG")
+
+
+def test_merge_command(spark, folder, tmp_path):
+    assert main(["merge", "--city", "krakow", f"{folder}/data", f"{folder}/data", "--out", f"{tmp_path}/both"]) == 0
+    feed = files.read_feed(spark, f"file://{tmp_path}/both")
+    assert {r.trip_id for r in feed["trips"].collect()} == {"10", "11", "12", "tram_10", "tram_11", "tram_12"}
+    assert {r.service_id for r in feed["calendar_dates"].collect()} == {"x", "y", "tram_x", "tram_y"}

@@ -6,6 +6,8 @@ polygons. Outer rings run counterclockwise, holes clockwise.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -152,3 +154,17 @@ def inner_point(polygon: list[list[tuple[float, float]]]) -> tuple[float, float]
         cuts = sorted(x1 + (y - y1) * (x2 - x1) / (y2 - y1) for ring in polygon for (x1, y1), (x2, y2) in zip(ring, ring[1:], strict=False) if (y1 > y) != (y2 > y))
         best = max([best, *((b - a, (a + b) / 2, y) for a, b in zip(cuts[::2], cuts[1::2], strict=False))])
     return best[1], best[2]
+
+
+def of_geopackage(features: DataFrame) -> DataFrame:
+    """Features read from a GeoPackage (see files.read_geopackage) with polygons, and deduped_trips where they have it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from tramline.sources.files import wkb_polygons
+
+        for pdf in batches:
+            found = [[] if w is None else [[[{"x": x, "y": y} for x, y in ring] for ring in polygon] for polygon in wkb_polygons(bytes(w))] for w in pdf["wkb"]]
+            yield pd.DataFrame({"layer": pdf["layer"], "fid": pdf["fid"], "deduped_trips": pdf["deduped_trips"], "polygons": found})
+
+    trips = F.try_element_at("properties", F.lit("deduped_trips")).try_cast("double")
+    return features.select("layer", "fid", trips.alias("deduped_trips"), "wkb").mapInPandas(run, f"layer string, fid long, deduped_trips double, polygons {POLYGONS}")

@@ -38,8 +38,8 @@ def shapes(content: bytes) -> Iterator[tuple[str, list[list[list[float]]]]]:
             yield "Null", []
 
 
-def attributes(content: bytes, encoding: str = "utf-8") -> Iterator[dict[str, str | None]]:
-    """The rows of a dBASE table as text; empty fields are null, deleted rows are left out."""
+def attributes(content: bytes, encoding: str = "utf-8") -> Iterator[dict[str, str | None] | None]:
+    """The rows of a dBASE table as text, None for a deleted one; empty fields are null."""
     rows, head, width = struct.unpack("<IHH", content[4:12])
     fields = []
     for at in range(32, head - 1, 32):
@@ -49,6 +49,7 @@ def attributes(content: bytes, encoding: str = "utf-8") -> Iterator[dict[str, st
     for k in range(rows):
         row = content[head + k * width : head + (k + 1) * width]
         if row[:1] == b"*":
+            yield None
             continue
         out, at = {}, 1
         for name, size in fields:
@@ -58,14 +59,16 @@ def attributes(content: bytes, encoding: str = "utf-8") -> Iterator[dict[str, st
 
 
 def read_shapefile(spark: SparkSession, uri: str, encoding: str = "utf-8") -> DataFrame:
-    """SCHEMA of the records of the .shp files at uri, with the .dbf beside each."""
+    """SCHEMA of the records of the .shp files at uri, with the row at the same place of the .dbf beside each; records
+    whose row is deleted are left out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for name, shp, dbf in zip(pdf["file"], pdf["shp"], pdf["dbf"], strict=True):
                 table = list(attributes(bytes(dbf), encoding)) if dbf is not None else []
-                rows += [(name, k, kind, parts, table[k] if k < len(table) else {}) for k, (kind, parts) in enumerate(shapes(bytes(shp)))]
+                found = ((k, kind, parts, table[k] if k < len(table) else {}) for k, (kind, parts) in enumerate(shapes(bytes(shp))))
+                rows += [(name, k, kind, parts, row) for k, kind, parts, row in found if row is not None]
             yield pd.DataFrame(rows, columns=["file", "record", "kind", "parts", "properties"])
 
     def load(kind: str) -> DataFrame:
@@ -110,3 +113,11 @@ def write_shapefile(kind: str, rows: list[tuple[list[list[tuple[float, float]]],
     table = struct.pack("<B3BIHH20x", 3, 126, 1, 1, len(rows), 33 + len(fields), 1 + sum(wide)) + fields + b"\r"
     table += b"".join(b" " + b"".join(c.ljust(w) for c, w in zip(row, wide, strict=True)) for row in cells) + b"\x1a"
     return {"shp": header(len(body)) + body, "shx": header(len(index)) + index, "dbf": table}
+
+
+def append_shapefile(files: dict[str, bytes], kind: str, rows: list[tuple[list[list[tuple[float, float]]], dict[str, str | None]]]) -> dict[str, bytes]:
+    """The files of a shapefile with rows of the same kind added; a name that one side lacks is empty there."""
+    table = list(attributes(files["dbf"]))
+    old = [([[tuple(p) for p in part] for part in parts], table[k]) for k, (_, parts) in enumerate(shapes(files["shp"])) if parts and table[k] is not None]
+    names = list(dict.fromkeys(n for _, row in (*old, *rows) for n in row))
+    return write_shapefile(kind, [(parts, {n: row.get(n) for n in names}) for parts, row in (*old, *rows)])
