@@ -293,3 +293,11 @@ ORACLES["box_texts"] = (
 )
 oracle("trips_by_text", "f_trip_names", "SELECT trip_id, trip_id AS train, 5::INTEGER AS time_minutes, 375::DOUBLE AS distance_m FROM f_trip_names WHERE contains(trip_id, '/17/')")
 oracle("filled_with_zero", "f_osm", "SELECT seen, coalesce(levels, '0') AS levels, osm_id % 4 AS n FROM f_osm")
+oracle(
+    "exact_pieces", "f_cluster_pts",
+    "SELECT CAST(d AS VARCHAR) AS district, CAST(stops AS INTEGER) AS stops, count(*) AS pieces, CAST(sum((b - a) * 200) AS BIGINT) AS area FROM (SELECT d, a, b, (SELECT count(*) FROM squares q WHERE q.d = s.d AND q.lo <= s.a AND q.hi >= s.b) AS stops FROM spans s WHERE b IS NOT NULL) "
+    "WHERE stops > 0 GROUP BY ALL",
+    "squares AS (SELECT id // 10 AS d, x - 100 AS lo, x + 100 AS hi FROM f_cluster_pts)",
+    "cuts AS (SELECT d, lo AS p FROM squares UNION SELECT d, hi FROM squares)",
+    "spans AS (SELECT d, p AS a, lead(p) OVER (PARTITION BY d ORDER BY p) AS b FROM cuts)",
+)

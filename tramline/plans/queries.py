@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tramline import cities
 from tramline.functions import classes, geo, gtfs_time, vehicles
-from tramline.operators import calendar, components, coverage, feeds, network, osm, regions, spatial, styles, timetable
+from tramline.operators import calendar, components, coverage, exact, feeds, network, osm, regions, spatial, styles, timetable
 from tramline.plans.lineage import cut
 from tramline.sources.fixtures import spark_view
 
@@ -306,6 +306,16 @@ def coverage_rings(spark, sf_dir):
     return rows.select("part", "deduped_trips", F.size(p).alias("polygons"), F.size(regions.rings(p)).alias("rings"), points.alias("points"), regions.length(p).alias("length"), regions.area(p).alias("area"))
 
 
+@query
+def exact_pieces(spark, sf_dir):
+    """Pieces between the boundaries of overlapping squares, by how many squares hold them; a row of ten is a district."""
+    x, y = F.col("x"), F.col("y")
+    ring = geo.box_ring(x - 100, y - 100, x + 100, y + 100)
+    areas = spark_view(spark, sf_dir, "f_cluster_pts").select(F.expr("id div 10").alias("district"), "id", F.array(F.array(ring)).alias("polygons"))
+    pieces = exact.subdivide(areas).select("district", F.size("ids").alias("stops"), regions.area(F.col("polygons")).alias("area"))
+    return pieces.groupBy("district", "stops").agg(F.count(F.lit(1)).alias("pieces"), F.round(F.sum("area")).cast("bigint").alias("area"))
+
+
 @query
 def stop_area_rings(spark, sf_dir):
     """Walking areas as polygons, in degrees and back, with their bounds in metres."""
