@@ -420,6 +420,26 @@ def test_licence_headers_and_texts():
     assert licences_of(gpl + " x x x " + " ".join(w if k % 20 else "x" for k, w in enumerate(agpl.split())) + " x x x " + gpl) == ["AGPL-3.0", "GPL-3.0"]
 
 
+@pytest.mark.parametrize(("said", "names"), [
+    ("This work is licensed under the GNU General Public License, version 2", ["GPL-2.0"]), ("This work is licensed under the GNU General Public License, version 3", ["GPL-3.0"]),
+    ("This work is licensed under the GNU Lesser General Public License, version 2.1", ["LGPL-2.1"]), ("This work is licensed under the GNU Lesser General Public License, version 3", ["LGPL-3.0"]),
+    ("This work is licensed under the GNU Affero General Public License, version 3", ["AGPL-3.0"]), ("This work is licensed under a Creative Commons Attribution 4.0 International License", ["CC-BY-4.0"]),
+    ("This work is licensed under a Creative Commons Attribution 3.0 International License", []), ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", ["CC-BY-SA-4.0"]),
+    ("Licensed under the Apache License, Version 2.0", ["Apache-2.0"]), ("Licensed under the Apache License, Version 1.1", []),
+])
+def test_licence_versions(said, names):
+    found = licenses.Scanner().resolve(f"Some words before. {said}. And some after.".encode())
+    assert sorted({x[0].partition("#")[0] for x in found}) == names
+
+
+def test_licences_in_very_long_texts(spark):
+    prose = "words of an ordinary text about trams and trains in a city " * 40_000
+    mit = licenses.TEMPLATES["MIT"]
+    rows = [(1, prose + mit + prose, "clash"), (2, prose, "clash"), (3, (mit + " ") * 30, "clash"), (4, "the software " * 200_000, "clash")]
+    got = {r.doc_id: (r.license, r.n_licenses) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, license string")).collect()}
+    assert got == {1: ("MIT", 1), 2: (None, 0), 3: ("MIT", 1), 4: (None, 0)}
+
+
 def test_licence_rows(spark):
     texts = [None, "", "Nothing here", "Intro.\n" + licenses.TEMPLATES["MIT"].replace("Software", "Program") + "\nmore", "x. Released under the MIT License. Licensed under CC BY-NC 4.0."]
     got = {r.doc_id: r for r in licenses.scan(docs(spark, texts)).filter("doc_id <> 1 OR license IS NOT NULL").collect()}

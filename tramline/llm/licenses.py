@@ -143,7 +143,7 @@ class Scanner:
         room: Counter[int] = Counter()
         for code, n in zip(has.tolist(), many.tolist(), strict=True):
             for k in self.holders[code]:
-                room[k] += n
+                room[k] += min(n, self.counts[k][code])
         out = {}
         for k, n in room.items():
             if n < self.least[k]:
