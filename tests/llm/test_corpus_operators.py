@@ -298,6 +298,21 @@ def test_base_counts_and_ratio(spark):
         assert r.kept == (not r.base_failed and r.llr >= quality.THRESHOLD)
 
 
+def test_quality_odd_rows(spark):
+    long = "some words that go on and on " * 60_000
+    rows = [(None, "plain words " * 40, "x", 1), (1, "plain words " * 40, "x", 1), (1, "plain words " * 40, "x", 1), (2, None, None, None), (3, "", "x", 2), (4, long, "x", 3), (5, "z" * 1_000_000, "x", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string, n_words int")
+    labels = spark.createDataFrame([(1, 1), (None, 1), (4, None), (3, 0), (1, 1)], "doc_id long, quality int")
+    got = quality.verdicts(docs, labels).collect()
+    assert len(got) == len(rows)
+    assert Counter((r.doc_id, r.n_words) for r in got) == Counter((d, len(words(t))) for d, t, *_ in rows)
+    again = [r for r in got if r.doc_id == 1]
+    assert again[0] == again[1]
+    assert {r.doc_id: (r.n_words, r.base_failed) for r in got if r.doc_id in (2, 3, 5)} == {2: (0, True), 3: (0, True), 5: (1, True)}
+    kept = quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in got)
+
+
 def test_quality_same_with_either_join(spark, monkeypatch):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     before = quality.counts(docs, labels)
@@ -426,3 +441,33 @@ def test_pipeline_stages(spark):
     assert set(final.doc_id) == set(groups.values())
     assert final.groupby("sequence_id").length.sum().max() <= 2048
     assert isinstance(final, pd.DataFrame) and p.ORACLE_SQL is None
+
+
+def run_on(spark, tmp_path, docs, labels):
+    import corpus_pipeline as p
+
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    return p.run(spark, str(tmp_path)).collect()
+
+
+DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    rng = random.Random(9)
+    prose = lambda: " ".join(rng.choice(["the", "tram", "runs", "from", "one", "stop", "to", "another", "every", "morning", "and", "late", "at", "night"]) + str(rng.randrange(40)) for _ in range(90))
+    texts = [prose() for _ in range(30)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(100, texts[0]), (5, prose()), (None, prose()), (101, None), (102, ""), (103, "#$% " * 100), (5, texts[5])]
+    docs = spark.createDataFrame([(d, t, None, "a", None) for d, t in rows], DOCUMENT)
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(20)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
+    got = run_on(spark, tmp_path, docs, labels)
+    ids = Counter(r.doc_id for r in got if r.piece == 0)
+    assert ids == Counter([*range(30), 5, None])  # copies, nulls and empty texts go; both texts of 5 stay, once each
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "too short"), (2, None)]])
+def test_pipeline_that_keeps_nothing(spark, tmp_path, rows):
+    docs = spark.createDataFrame([(d, t, None, None, None) for d, t in rows], DOCUMENT)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert run_on(spark, tmp_path, docs, labels) == []

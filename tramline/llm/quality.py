@@ -29,7 +29,7 @@ from tramline.llm import common
 
 BUCKETS, GRAM, PRIOR, THRESHOLD = 1 << 16, 4, 5.0, -0.4
 MIN_WORDS, MOST_REPEATED = 50, 50
-BROADCAST = 1_000_000
+BROADCAST = 1_000_000  # about 16 MB
 SYMBOLS = b"#*$%&|<>"
 RESULT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, llr double, kept boolean"
 
@@ -99,8 +99,8 @@ def counts(docs: DataFrame, labels: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, BUCKETS), np.int64)
-        for batch in batches:
-            for text, flag in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for some in (x for batch in batches for x in common.slices(batch, column=0)):
+            for text, flag in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
                 found = np.bincount(grams(text), minlength=BUCKETS)
                 sums[0] += found
                 if flag:
@@ -137,9 +137,9 @@ def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     kinds = [pa.int64()] * 6 + [pa.bool_(), pa.float64(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [judge(x, ratio.value) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds[1:]))], names=names)
+        for some in (x for batch in batches for x in common.slices(batch)):
+            rows = [judge(x, ratio.value) for x in some.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([some.column(0), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds[1:]))], names=names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.utf8("text")).mapInArrow(run, RESULT)
 
