@@ -15,6 +15,7 @@ from tramline.functions import geo
 from tramline.operators import coverage, osm, regions, spatial, styles
 from tramline.plans import lineage, picture
 from tramline.sources import files, shapefile
+from tramline.streaming import resume
 
 CELLS = st.sets(st.tuples(st.integers(-4, 4), st.integers(-4, 4)), min_size=1, max_size=60)
 
@@ -127,6 +128,20 @@ def test_elements_of_map_answers(spark, tmp_path):
     assert centres == {1: (20.0, 52.0), 2: (20.0, 52.05)}
 
 
+def test_rail_stops_in_a_box(spark):
+    line = lambda x: [{"lat": 52.0, "lon": x}, {"lat": 52.0, "lon": x + 0.002}]
+    rows = [("node", 1, 52.0, 20.0, None, None, {"railway": "tram_stop"}), ("node", 2, 53.0, 20.0, None, None, {"railway": "tram_stop"}), ("way", 3, None, None, line(20.0), None, {"subway": "yes"}), ("way", 4, None, None, line(20.1), None, {"subway": "yes"}), ("way", 5, None, None, line(20.0), None, {"highway": "primary"})]
+    got = osm.stops_in(spark.createDataFrame(rows, osm.ELEMENT), 51.9, 19.99, 52.1, 20.01).collect()
+    assert {r.id: (round(r.lon, 6), r.railway, r.time_limit) for r in got} == {1: (20.0, "tram", 480), 3: (20.001, "subway", 720)}
+
+
+def test_appended_rows(spark, tmp_path):
+    at = f"file://{tmp_path}/done"
+    for n, total in ((3, 3), (5, 5), (4, 5)):
+        resume.append_new(spark.range(n).withColumnRenamed("id", "k"), at, "k")
+        assert spark.read.parquet(at).count() == total
+
+
 def test_sinks_of_areas(spark, tmp_path):
     cells = spark.createDataFrame([(1, 0, 0), (1, 2, 2), (2, 5, 5)], "part int, cx long, cy long")
     rows = regions.outlines(cells, "part", 1.0).withColumn("deduped_trips", F.col("part").cast("int") * 10)

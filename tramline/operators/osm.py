@@ -117,6 +117,14 @@ def rail_stops(elements: DataFrame) -> DataFrame:
     return elements.withColumn("railway", kind).filter("railway IS NOT NULL").withColumn("time_limit", classes.time_limit(F.col("railway")))
 
 
+def stops_in(elements: DataFrame, south: float, west: float, north: float, east: float) -> DataFrame:
+    """rail_stops with lon and lat whose centre lies in a box: nodes as they lie, ways by their centre."""
+    found = rail_stops(elements)
+    at = centre(geometries(found)).select(F.col("osm_id").alias("id"), F.col("osm_type").alias("type"), "lon", "lat")
+    at = at.filter(F.col("lon").between(west, east) & F.col("lat").between(south, north))
+    return found.drop("lon", "lat").join(at, ["id", "type"])
+
+
 # ---- geometry kernels: order matters in them, so they run in Python on Arrow batches
 
 

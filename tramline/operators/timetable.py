@@ -59,6 +59,13 @@ def expand_frequencies(frequencies: DataFrame, trips: DataFrame, stop_times: Dat
     return rows.select(F.concat("trip_id", F.lit("__"), F.col("t").cast("string")).alias("trip_id"), "stop_id", at.alias("arrival_time"), at.alias("departure_time"), "route_id")
 
 
+def headway_totals(frequencies: DataFrame, trips: DataFrame) -> DataFrame:
+    """route_id, total_trips, trips of headway services in the daily window, without listing departures."""
+    n = gtfs_time.headway_trips(gtfs_time.elapsed_seconds(F.col("start_time")), gtfs_time.elapsed_seconds(F.col("end_time")), F.col("headway_secs"))
+    by_trip = frequencies.groupBy("trip_id").agg(F.sum(n).alias("total_trips"))
+    return by_trip.join(trips, "trip_id").groupBy("route_id").agg(F.sum("total_trips").alias("total_trips"), F.count(F.lit(1)).alias("trips"))
+
+
 def in_window(rows: DataFrame, start: int = gtfs_time.WINDOW_START, end: int = gtfs_time.WINDOW_END) -> DataFrame:
     """Rows whose arrival_time is a time in [start, end), with it in seconds."""
     # none or one element to explode, as a filter beside a column would parse the text once for each mention

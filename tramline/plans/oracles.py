@@ -301,3 +301,4 @@ oracle(
     "cuts AS (SELECT d, lo AS p FROM squares UNION SELECT d, hi FROM squares)",
     "spans AS (SELECT d, p AS a, lead(p) OVER (PARTITION BY d ORDER BY p) AS b FROM cuts)",
 )
+oracle("rows_after_cursor", "f_cluster_pts", "SELECT id, trip_count FROM f_cluster_pts WHERE id > (SELECT max(id) FROM f_cluster_pts WHERE id < 4 OR trip_count = 5) UNION ALL SELECT id, trip_count FROM f_cluster_pts WHERE id < 3")

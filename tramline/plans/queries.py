@@ -12,6 +12,7 @@ from tramline.functions import classes, geo, gtfs_time, vehicles
 from tramline.operators import calendar, components, coverage, exact, feeds, network, osm, regions, spatial, styles, timetable
 from tramline.plans.lineage import cut
 from tramline.sources.fixtures import spark_view
+from tramline.streaming import resume
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,7 +89,7 @@ def rail_prefix_routes(spark, sf_dir):
 @query
 def merge_two_modes(spark, sf_dir):
     bus = feed(spark, sf_dir)
-    tram = {"trips": spark_view(spark, sf_dir, "f_freq_trips"), "routes": bus["routes"].limit(0), "calendar_dates": bus["calendar_dates"]}
+    tram = {"trips": spark_view(spark, sf_dir, "f_freq_trips"), "routes": bus["routes"], "calendar_dates": bus["calendar_dates"]}
     out = feeds.merge_two_modes({k: bus[k] for k in ("trips", "routes", "calendar_dates")}, tram)
     return out["trips"].join(out["calendar_dates"], "service_id").groupBy("route_id", "date").agg(F.count(F.lit(1)).alias("trips"))
 
@@ -131,10 +132,7 @@ def frequency_expand(spark, sf_dir):
 
 @query
 def headway_counts(spark, sf_dir):
-    frequencies, trips = views(spark, sf_dir, "f_frequencies", "f_freq_trips")
-    n = gtfs_time.headway_trips(gtfs_time.elapsed_seconds(F.col("start_time")), gtfs_time.elapsed_seconds(F.col("end_time")), F.col("headway_secs"))
-    by_trip = frequencies.groupBy("trip_id").agg(F.sum(n).alias("total_trips"))
-    return by_trip.join(trips, "trip_id").groupBy("route_id").agg(F.sum("total_trips").alias("total_trips"), F.count(F.lit(1)).alias("trips"))
+    return timetable.headway_totals(*views(spark, sf_dir, "f_frequencies", "f_freq_trips"))
 
 
 @query
@@ -504,3 +502,10 @@ def filled_with_zero(spark, sf_dir):
     """No nulls: 0 in numbers, "0" in texts."""
     rows = spark_view(spark, sf_dir, "f_osm").select("seen", "levels", F.nullif(F.col("osm_id") % 4, F.lit(0)).alias("n"))
     return timetable.fill_zero(rows)
+
+
+@query
+def rows_after_cursor(spark, sf_dir):
+    """Rows beyond the last one that an earlier run took."""
+    rows = spark_view(spark, sf_dir, "f_cluster_pts").select("id", "trip_count")
+    return resume.after(rows, rows.filter("id < 4 OR trip_count = 5"), "id").unionByName(resume.after(rows.filter("id < 3"), rows.filter("id < 0"), "id"))
