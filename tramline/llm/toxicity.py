@@ -37,7 +37,7 @@ SAMPLE = (1500, 3000)
 #: Of a longer training document, so many passages of so many words, first by hash.
 PASSAGES, PASSAGE = 12, 128
 EPOCHS, WIDE, TRIM, BATCH, RATE, SEED = 8, 3, 6, 128, 0.01, 7
-KNOWN, BLOCK = 300_000, 4096
+KNOWN, MET, BLOCK = 300_000, 50_000, 4096
 #: A longer word (in bytes) has no spaces to go by, and is read in pieces of that many characters.
 LONG, PIECE = 96, 8
 #: ASCII in lower case and separators as spaces; and the UTF-8 of other white space.
@@ -268,8 +268,8 @@ class Scorer:
         self.tables, self.size = {s: np.repeat(pad, 1024, axis=0) for s in "fb"}, 1  # row 0 is the pad
 
     def learn(self, words: list[bytes]) -> None:
-        for k in range(0, len(words), 50_000):
-            some = words[k : k + 50_000]
+        for k in range(0, len(words), MET):
+            some = words[k : k + MET]
             x = self.net.inputs(self.net.features(some))
             need = self.size + len(some)
             for s in "fb":
@@ -310,28 +310,35 @@ def fit(texts: list[bytes], toxic: list[int], share: float | None = None) -> Net
     if not len(label) or label.min() == label.max():
         return None
     rng = np.random.default_rng(SEED)
-    cut = [words_of(x) for x in texts]
     apart = np.array([zlib.crc32(x) % 5 == 0 for x in texts])  # for the scale only; equal texts stay together
     if not (len({*label[apart].tolist()}) == 2 and len({*label[~apart].tolist()}) == 2):
         apart = np.zeros(len(texts), bool)
     seen: dict[bytes, int] = {}
-    for words in (w for w, a in zip(cut, apart, strict=True) if not a):
-        for w in {x.strip(MARKS) for x in words}:
+    ids: dict[bytes, int] = {}
+    read = []  # words as numbers, text by text, as the words themselves take ten times the room
+    for text, held in zip(texts, apart.tolist(), strict=True):
+        words = words_of(text)
+        read.append(np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.int32, len(words)))
+        for w in {x.strip(MARKS) for x in words} if not held else ():
             seen[w] = seen.get(w, 0) + 1
     net = Net({w: k + 1 for k, w in enumerate(sorted(w for w, n in seen.items() if n >= MIN_DOCS and w))}, rng)
-    names = sorted({w for words in cut for w in words})
-    ids = {w: k for k, w in enumerate(names)}
-    flat = np.array([ids[w] for words in cut for w in words] + [0], np.int64)
-    start, end, of = windows(np.fromiter(map(len, cut), np.int64, len(cut)))
-    del cut, ids, seen
-
+    names = sorted(ids)
+    rank = np.empty(len(names) + 1, np.int64)
+    rank[[ids[w] for w in names]] = np.arange(len(names))
+    flat = np.append(rank[np.concatenate(read)], 0)
+    start, end, of = windows(np.array([len(x) for x in read]))
+    del read, ids, seen
     given = net.features(names)
 
     def now() -> np.ndarray:
         """Logit of every window, as the net stands."""
         pad = np.array([[0] * HIDDEN + [30] * HIDDEN + [0] * HIDDEN], np.float32)
-        x = net.inputs(given)
-        return window_logits(net, {s: np.vstack([pad, net.project(x, s)]) for s in "fb"}, flat + 1, start, end)
+        tables = {s: [pad] for s in "fb"}
+        for k in range(0, len(names), MET):
+            x = net.inputs(given.some(np.arange(k, min(k + MET, len(names)))))
+            for s in "fb":
+                tables[s].append(net.project(x, s))
+        return window_logits(net, {s: np.concatenate(x) for s, x in tables.items()}, flat + 1, start, end)
 
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     count = 0
