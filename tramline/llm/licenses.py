@@ -92,10 +92,10 @@ class Scanner:
         self.signatures = [signature(templates[k].lower().encode()) for k in self.names]
         self.least = [int(np.ceil(n * like / (2 - like) - 1e-9)) for n in self.sizes]
         self.most = [int(n * (2 - like) / like + 1e-9) for n in self.sizes]
-        self.holders: dict[int, list[int]] = {}
+        self.holders: dict[int, list[tuple[int, int]]] = {}
         for k, c in enumerate(self.counts):
-            for code in c:
-                self.holders.setdefault(code, []).append(k)
+            for code, n in c.items():
+                self.holders.setdefault(code, []).append((k, n))
         self.codes = np.array(sorted(self.holders), np.int64)
 
     def windows(self, k: int, at: np.ndarray, codes: np.ndarray) -> Iterator[tuple[float, int, int]]:
@@ -142,8 +142,8 @@ class Scanner:
         has, many = np.unique(codes, return_counts=True)
         room: Counter[int] = Counter()
         for code, n in zip(has.tolist(), many.tolist(), strict=True):
-            for k in self.holders[code]:
-                room[k] += min(n, self.counts[k][code])
+            for k, most in self.holders[code]:
+                room[k] += n if n < most else most
         out = {}
         for k, n in room.items():
             if n < self.least[k]:
